@@ -17,8 +17,9 @@ ALL_EVENTS = ("02", "03", "04", "01")
 def decode_logs(lines, value="value"):
     """Log records of JSON text; both spellings of the user and longitude fields are read."""
     names = LOG_FIELDS + list(LOG_SPELLINGS)
-    texts = lines.select(F.json_tuple(value, *names).alias(*[f"_{n}" for n in names]))
-    second = {field: f"_{spelling}" for spelling, field in LOG_SPELLINGS.items()}
+    found_as = [f"_{n}" for n in LOG_FIELDS] + [f"_other_{n}" for n in LOG_SPELLINGS]
+    texts = lines.select(F.json_tuple(value, *names).alias(*found_as))
+    second = {field: f"_other_{spelling}" for spelling, field in LOG_SPELLINGS.items()}
     columns = []
     for name in LOG_FIELDS:
         found = F.col(f"_{name}")
@@ -127,12 +128,19 @@ def quality_gate(rows, kind):
     )
 
 
-def _codes(spark, rows, prefix):
-    return spark.createDataFrame(rows, f"{prefix} string, {prefix}Name string, {prefix}Text string")
+def code_table(spark, rows):
+    """A code table as rows of code, name and text."""
+    return spark.createDataFrame(rows, "code string, name string, text string")
+
+
+def _decoded(column, rows, at):
+    pairs = [F.lit(part) for row in rows for part in (row[0], row[at])]
+    return F.create_map(*pairs)[F.col(column)]
 
 
 def decode_codes(logs):
-    """Adds name and text of the action and event codes. The two code tables have 8 and 4 rows."""
-    spark = logs.sparkSession
-    actions, events = _codes(spark, ACTIONS, "action"), _codes(spark, EVENTS, "eventType")
-    return logs.join(F.broadcast(actions), "action", "left").join(F.broadcast(events), "eventType", "left")
+    """Adds name and text of the action and event codes; the tables are small enough to be literals."""
+    return logs.withColumns({
+        "actionName": _decoded("action", ACTIONS, 1), "actionText": _decoded("action", ACTIONS, 2),
+        "eventTypeName": _decoded("eventType", EVENTS, 1), "eventTypeText": _decoded("eventType", EVENTS, 2),
+    })
