@@ -11,9 +11,11 @@ from orderflow.operators.windows import average_fee, order_measures
 DAY_MS = 86_400_000
 
 
-def _chunked(rows, keys, size, order, width_ms, slice_rows):
+def count_chunks(rows, keys, size, order, width_ms=None, slice_rows=None):
+    """Adds `chunk`: 0 for the first `size` rows of a key, 1 for the next, and so on."""
     options = {} if slice_rows is None else {"slice_rows": slice_rows}
-    placed = running_sums(rows, keys, order, {"_pos": F.lit(1)}, width_ms, **options)
+    width = min(width_ms or HOUR_MS, HOUR_MS)
+    placed = running_sums(rows, keys, list(order), {"_pos": F.lit(1)}, width, **options)
     return placed.withColumn("chunk", F.floor((F.col("_pos") - 1) / size))
 
 
@@ -21,7 +23,7 @@ def count_window_stats(orders, keys, size, order=("ct", "seq"), emit_tail=False,
                        width_ms=HOUR_MS, slice_rows=None):
     """Measures of every `size` consecutive orders of a key. An unfilled last window is left out
     unless `emit_tail`."""
-    chunks = _chunked(orders, keys, size, list(order), width_ms, slice_rows)
+    chunks = count_chunks(orders, keys, size, order, width_ms, slice_rows)
     stats = chunks.groupBy(*keys, "chunk").agg(F.max("ct").alias("endWindowTime"), *order_measures())
     if not emit_tail:
         stats = stats.filter(F.col("orders") == size)
@@ -49,27 +51,36 @@ def count_triggered_stats(orders, keys, size, period_ms=60_000, offset_ms=0, ord
         *groups, *[F.col(f"o.{c}").alias(c) for c in order],
         F.lit(0).cast("bigint").alias("fee"), F.lit(0).alias("_order"), F.lit(1).alias("_user"),
     )
-    options = {} if slice_rows is None else {"slice_rows": slice_rows}
-    placed = running_sums(
-        rows.unionByName(sights), groups, order, {"_pos": F.col("_order")}, width_ms, peers=True, **options
+    rows = rows.withColumn("_new", F.lit(1)).unionByName(sights.withColumn("_new", F.lit(0)))
+    running = running_snapshots(rows, groups, size, order, emit_tail, width_ms, slice_rows)
+    return running.select(
+        *keys, F.date_format(F.timestamp_millis("ct"), "yyyyMMddHH").alias("etTime"),
+        "startWindowTime", "ct", "orders", "users", "totalFee",
     )
+
+
+def running_snapshots(rows, groups, size, order, emit_tail=False, width_ms=HOUR_MS, slice_rows=None):
+    """Running `orders`, `users` and `totalFee` at every `size` orders of a group.
+
+    Rows carry weights: `_order` and `_user` counts, `fee`, and `_new` for orders of this input (0
+    for first sights and for totals brought along from earlier input).
+    """
+    options = {} if slice_rows is None else {"slice_rows": slice_rows}
+    placed = running_sums(rows, groups, order, {"_pos": F.col("_order")}, width_ms, peers=True, **options)
     chunks = (
         placed.withColumn("chunk", F.floor((F.col("_pos") - 1) / size))
         .groupBy(*groups, "chunk")
         .agg(
             F.sum("_order").alias("_n"), F.sum("_user").alias("_u"), F.sum("fee").alias("_f"),
-            F.max("ct").alias("ct"),
+            F.sum("_new").alias("_new"), F.max("ct").alias("ct"),
         )
     )
     running = running_over_chunks(
         chunks, groups, "chunk", {"orders": F.col("_n"), "users": F.col("_u"), "totalFee": F.col("_f")}
-    )
+    ).filter("_new > 0")
     if not emit_tail:
-        running = running.filter(F.col("_n") == size)
-    return running.select(
-        *keys, F.date_format(F.timestamp_millis("ct"), "yyyyMMddHH").alias("etTime"),
-        "startWindowTime", "ct", "orders", "users", "totalFee",
-    )
+        running = running.filter(F.col("orders") == (F.col("chunk") + 1) * size)
+    return running
 
 
 def count_or_time_stats(wide_orders, keys=("productType", "toursimType"), size=10, interval_ms=60_000,
@@ -78,8 +89,7 @@ def count_or_time_stats(wide_orders, keys=("productType", "toursimType"), size=1
     aligned interval ends. A full batch ends with its last order, a cut-off one with the interval."""
     keys = list(keys)
     timed = wide_orders.withColumn("_interval", F.floor(F.col("ct") / interval_ms))
-    width = width_ms or min(HOUR_MS, interval_ms)
-    chunks = _chunked(timed, [*keys, "_interval"], size, list(order), width, slice_rows)
+    chunks = count_chunks(timed, [*keys, "_interval"], size, order, width_ms or interval_ms, slice_rows)
     stats = chunks.groupBy(*keys, "_interval", "chunk").agg(
         F.min("ct").alias("startWindowTime"), F.max("ct").alias("_last"),
         F.count(F.lit(1)).alias("orders"), F.count_distinct(user).alias("users"),
