@@ -40,10 +40,5 @@ def decode(lines, schema, value="value"):
 
 
 def table_stream(spark, folder, table, schema, **options):
-    """A parquet table of a folder read as a stream, file by file."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{table}.parquet")
-        .options(**options)
-        .parquet(folder)
-    )
+    """A parquet table (one file or a folder of files) read as a stream of files."""
+    return spark.readStream.schema(schema).options(**options).parquet(f"{folder}/{table}.parquet*")
