@@ -37,13 +37,19 @@ def _array_entries(array, element, name):
     return F.transform(array, lambda x, i: F.struct(key(i).alias("key"), x.cast("string").alias("value")))
 
 
+def _flat(value, schema):
+    # bound as a lambda argument, so the value is worked out once however many fields it has
+    bound = F.transform(F.array(value), lambda v: F.filter(_entries(v, schema, None), lambda e: e["value"].isNotNull()))
+    return bound[0]
+
+
 def flat_entries(value, schema):
     """A nested value as an array of (key, value) texts.
 
     A key is the name with its direct parent's name in front; elements of an array carry their
     index. Missing values are left out.
     """
-    return F.filter(_entries(F.col(value), schema, None), lambda e: e["value"].isNotNull())
+    return _flat(F.col(value), schema)
 
 
 def flat_map(value, schema):
@@ -53,5 +59,4 @@ def flat_map(value, schema):
 
 def flat_json(text, schema):
     """Flattened map of JSON text with a known schema."""
-    parsed = F.from_json(text, schema)
-    return F.map_from_entries(F.filter(_entries(parsed, schema, None), lambda e: e["value"].isNotNull()))
+    return F.map_from_entries(_flat(F.from_json(text, schema), schema))

@@ -16,31 +16,38 @@ HOUR_MS = 3_600_000
 SLICE_ROWS = 5_000_000
 
 
-def _sliced(rows, group, order, width_ms, slice_rows):
-    """`rows` with an ascending `_slice` number inside each group."""
-    first = order[0]
-    timed = rows.withColumn("_slice", F.floor(F.col(first) / width_ms))
-    largest = timed.groupBy(group, "_slice").count().agg(F.max("count")).first()[0] or 0
-    if largest <= slice_rows:
-        return timed
+def _slice_totals(rows, group, sums):
+    """Row count and sums per slice: small next to the rows, and needed twice, so kept as a table."""
     shared_folder(rows.sparkSession)
+    totals = rows.groupBy(group, "_slice").agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in sums]
+    )
+    return totals.checkpoint()
+
+
+def _sliced(rows, group, order, sums, width_ms, slice_rows):
+    """`rows` with an ascending `_slice` number inside each group, and the totals of the slices."""
+    timed = rows.withColumn("_slice", F.floor(F.col(order[0]) / width_ms))
+    totals = _slice_totals(timed, group, sums)
+    if (totals.agg(F.max("_rows")).first()[0] or 0) <= slice_rows:
+        return timed, totals
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(parts, F.col(group), *order)
-    # Range bounds come from a sample; the checkpoint makes both uses below see the same cut.
-    return ranged.withColumn("_slice", F.spark_partition_id().cast("bigint")).checkpoint()
+    # Range bounds come from a sample; the checkpoint makes rows and totals see the same cut.
+    ranged = ranged.withColumn("_slice", F.spark_partition_id().cast("bigint")).checkpoint()
+    return ranged, _slice_totals(ranged, group, sums)
 
 
 def running_sums(rows, keys, order, sums, width_ms=HOUR_MS, slice_rows=SLICE_ROWS, peers=False):
     """Adds inclusive running sums along `order` (first an epoch-millisecond column) inside `keys`.
 
     `sums` maps new column names to expressions. Null keys form a group of their own. With `peers`,
-    rows equal in `order` get the same sum.
+    rows equal in `order` get the same sum. The rows are read twice and shuffled once.
     """
     group = "_group"
     named = rows.withColumn(group, F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0)))
     named = named.withColumns({f"_w_{n}": e for n, e in sums.items()})
-    sliced = _sliced(named, group, order, width_ms, slice_rows)
-    totals = sliced.groupBy(group, "_slice").agg(*[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in sums])
+    sliced, totals = _sliced(named, group, order, sums, width_ms, slice_rows)
     earlier = W.partitionBy(group).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     starts = totals.select(
         group, "_slice", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_t_{n}") for n in sums]

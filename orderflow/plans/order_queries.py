@@ -59,7 +59,8 @@ def order_wide_parse(spark, folder):
 
 
 def agg_region_traffic_tumbling(spark, folder):
-    orders = ops.with_event_time(ops.parse_orders(base.order_lines(spark, folder)))
+    fields = ["userRegion", "traffic", "fee", "adult", "yonger", "baby", "ct"]
+    orders = ops.with_event_time(ops.parse_orders(base.order_lines(spark, folder), fields=fields))
     return windows.region_traffic_stats(orders, "1 hour")
 
 

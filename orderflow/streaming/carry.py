@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 class Carry:
-    """`step(carried, batch, before, now)` gives (results, rows to carry).
+    """`step(carried, batch, before, now)` gives (results, rows to carry, frames cached on the way).
 
     `before` and `now` are the highest `ct` seen up to the previous and this batch.
     """
@@ -31,12 +31,13 @@ class Carry:
             carried = spark.read.schema(self.schema).parquet(self._slot("carried", batch_id - 1))
         now = batch.agg(F.max(self.ct).cast("bigint")).first()[0]
         now = max((t for t in (before, now) if t is not None), default=None)
-        results, keep = self.step(carried, batch, before, now)
+        results, keep, cached = self.step(carried, batch, before, now)
         results.write.mode("overwrite").parquet(f"{self.folder}/results/_batch={batch_id}")
         keep.write.mode("overwrite").parquet(self._slot("carried", batch_id))
         clock = spark.range(1).select(F.lit(now).cast("bigint").alias("clock"))
         clock.write.mode("overwrite").parquet(self._slot("clock", batch_id))
-        batch.unpersist()
+        for frame in (batch, *cached):
+            frame.unpersist()
 
     def start(self, stream, checkpoint, trigger=None, mode="append"):
         writer = stream.writeStream.foreachBatch(self).outputMode(mode).option("checkpointLocation", checkpoint)

@@ -7,8 +7,6 @@ from orderflow.operators import patterns
 from orderflow.operators.counted import count_chunks, running_snapshots
 from orderflow.operators.ranking import TOP_N, RANK_WINDOW_MS, top_n
 
-_NEVER = 1 << 62
-
 
 def _schema(df, columns):
     return T.StructType([df.schema[c] for c in columns])
@@ -46,7 +44,7 @@ class CountOrTime:
             old.withColumn("_at", start if self.interval_ms else F.lit(-1).cast("bigint"))
         )
         groups = [*self.keys, "_interval"]
-        placed = count_chunks(rows, groups, self.size, ["_at", *self.order], self.interval_ms)
+        placed = count_chunks(rows, groups, self.size, ["_at", *self.order], self.interval_ms).persist()
         stats = placed.groupBy(*groups, "chunk").agg(
             F.count(F.lit(1)).alias("_n"), F.min("ct").alias("_first"), F.max("ct").alias("_last"), *self.measures
         )
@@ -58,7 +56,7 @@ class CountOrTime:
         results = done.withColumn("startWindowTime", F.col("_first")).withColumn("endWindowTime", end)
         open_chunks = stats.filter(~(full | self._ended(now))).select(*groups, "chunk")
         keep = placed.join(open_chunks, [*groups, "chunk"], "left_semi").select(*self.columns)
-        return results.drop("_n", "_first", "_last", "_interval", "chunk"), keep
+        return results.drop("_n", "_first", "_last", "_interval", "chunk"), keep, [placed]
 
 
 class CountTriggered:
@@ -114,7 +112,7 @@ class CountTriggered:
         return results.select(
             *self.keys, F.date_format(F.timestamp_millis("ct"), "yyyyMMddHH").alias("etTime"),
             "startWindowTime", "ct", "orders", "users", "totalFee",
-        ), totals
+        ), totals, []
 
 
 class TopN:
@@ -135,7 +133,8 @@ class TopN:
     def __call__(self, carried, batch, before, now):
         best = top_n(batch.select(*self.columns).unionByName(carried), **self.options)
         over = F.lit(False) if now is None else F.col("rankWindowTime") + self.period_ms <= F.lit(now)
-        return best.filter(over), best.filter(~over).select(*self.columns)
+        best = best.persist()
+        return best.filter(over), best.filter(~over).select(*self.columns), [best]
 
 
 class RepeatMatches:
@@ -145,16 +144,16 @@ class RepeatMatches:
     """
 
     def __init__(self, hit, times=patterns.TIMES, within_ms=patterns.WITHIN_MS, keys=(), delay_ms=0,
-                 order=("seq",), columns=(), finish=False):
+                 order=("seq",), columns=()):
         self.hit, self.times, self.within_ms, self.keys = hit, times, within_ms, list(keys)
-        self.delay_ms, self.order, self.columns, self.finish = delay_ms, list(order), list(columns), finish
+        self.delay_ms, self.order, self.columns = delay_ms, list(order), list(columns)
 
     def carried_schema(self, stream):
         return _schema(stream, self.columns)
 
     def __call__(self, carried, batch, before, now):
         if now is None:
-            return carried.withColumn("matches", F.lit(0).cast("bigint")), carried
+            return carried.withColumn("matches", F.lit(0).cast("bigint")), carried, []
         ct, within = F.col("ct"), self.within_ms
         known, told = now - self.delay_ms, -1
         new = batch.select(*self.columns)
@@ -165,4 +164,4 @@ class RepeatMatches:
         found = patterns.repeat_matches(rows, self.hit, self.times, within, self.keys, "ct", self.order)
         # rows at the watermark itself may still arrive, so the bound is exclusive
         final = found.filter((ct >= F.lit(told)) & (ct < F.lit(known - within)))
-        return final, rows.filter(ct >= F.lit(known - 2 * within))
+        return final, rows.filter(ct >= F.lit(known - 2 * within)), []
