@@ -5,7 +5,7 @@ The arrival order is `(ct, seq)`. The streaming forms are in `orderflow.streamin
 
 from pyspark.sql import functions as F
 
-from orderflow.operators.ordered import HOUR_MS, running_over_chunks, running_sums
+from orderflow.operators.ordered import HOUR_MS, running_over_positions, running_sums
 from orderflow.operators.windows import average_fee, order_measures
 
 DAY_MS = 86_400_000
@@ -75,7 +75,7 @@ def running_snapshots(rows, groups, size, order, emit_tail=False, width_ms=HOUR_
             F.sum("_new").alias("_new"), F.max("ct").alias("ct"),
         )
     )
-    running = running_over_chunks(
+    running = running_over_positions(
         chunks, groups, "chunk", {"orders": F.col("_n"), "users": F.col("_u"), "totalFee": F.col("_f")}
     ).filter("_new > 0")
     if not emit_tail:

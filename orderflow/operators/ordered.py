@@ -16,67 +16,62 @@ HOUR_MS = 3_600_000
 SLICE_ROWS = 5_000_000
 
 
-def _slice_totals(rows, group, sums):
+def _totals(sliced, sums, by="_slice"):
     """Row count and sums per slice: small next to the rows, and needed twice, so kept as a table."""
-    shared_folder(rows.sparkSession)
-    totals = rows.groupBy(group, "_slice").agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.sum(f"_w_{n}").alias(f"_t_{n}") for n in sums]
-    )
-    return totals.checkpoint()
+    shared_folder(sliced.sparkSession)
+    return sliced.groupBy("_group", by).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(e).alias(f"_t_{n}") for n, e in sums.items()]
+    ).checkpoint()
 
 
-def _sliced(rows, group, order, sums, width_ms, slice_rows):
-    """`rows` with an ascending `_slice` number inside each group, and the totals of the slices."""
-    timed = rows.withColumn("_slice", F.floor(F.col(order[0]) / width_ms))
-    totals = _slice_totals(timed, group, sums)
-    if (totals.agg(F.max("_rows")).first()[0] or 0) <= slice_rows:
-        return timed, totals
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(parts, F.col(group), *order)
-    # Range bounds come from a sample; the checkpoint makes rows and totals see the same cut.
-    ranged = ranged.withColumn("_slice", F.spark_partition_id().cast("bigint")).checkpoint()
-    return ranged, _slice_totals(ranged, group, sums)
+def _grouped(rows, keys):
+    # a struct, so that null keys compare equal in the join below
+    return rows.withColumn("_group", F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0)))
 
 
-def running_sums(rows, keys, order, sums, width_ms=HOUR_MS, slice_rows=SLICE_ROWS, peers=False):
-    """Adds inclusive running sums along `order` (first an epoch-millisecond column) inside `keys`.
+def range_slices(rows, keys, order):
+    """`rows` cut evenly into consecutive slices `_slice` of each `_group` of keys."""
+    shared_folder(rows.sparkSession)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = _grouped(rows, keys).repartitionByRange(parts, "_group", *order)
+    # Range bounds come from a sample; the checkpoint lets every later use see the same cut.
+    return ranged.withColumn("_slice", F.spark_partition_id().cast("bigint")).checkpoint()
 
-    `sums` maps new column names to expressions. Null keys form a group of their own. With `peers`,
-    rows equal in `order` get the same sum. The rows are read twice and shuffled once.
-    """
-    group = "_group"
-    named = rows.withColumn(group, F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0)))
-    named = named.withColumns({f"_w_{n}": e for n, e in sums.items()})
-    sliced, totals = _sliced(named, group, order, sums, width_ms, slice_rows)
-    earlier = W.partitionBy(group).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+
+def sums_over_slices(sliced, order, sums, peers=False, totals=None, by="_slice"):
+    """Adds inclusive running sums along `order` to sliced rows: one exchange of the rows."""
+    totals = _totals(sliced, sums, by) if totals is None else totals
+    earlier = W.partitionBy("_group").orderBy(by).rowsBetween(W.unboundedPreceding, -1)
     starts = totals.select(
-        group, "_slice", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_t_{n}") for n in sums]
+        "_group", by, *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_t_{n}") for n in sums]
     )
-    inside = W.partitionBy(group, "_slice").orderBy(*order)
+    inside = W.partitionBy("_group", by).orderBy(*order)
     if not peers:
         inside = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    joined = sliced.join(starts, [group, "_slice"])
+    weighed = sliced.withColumns({f"_w_{n}": e for n, e in sums.items()})
+    joined = weighed.join(starts, ["_group", by])
     return joined.select(
-        *rows.columns,
-        *[(F.col(f"_t_{n}") + F.sum(f"_w_{n}").over(inside)).alias(n) for n in sums],
+        *sliced.columns, *[(F.col(f"_t_{n}") + F.sum(f"_w_{n}").over(inside)).alias(n) for n in sums]
     )
 
 
-def running_over_chunks(chunks, keys, chunk, sums, block=1024):
-    """Adds running sums over rows numbered 0, 1, 2, … per key in column `chunk`.
+def running_sums(rows, keys, order, sums, width_ms=HOUR_MS, slice_rows=SLICE_ROWS, peers=False):
+    """Adds inclusive running sums along `order` (first an epoch-millisecond column) inside `keys`.
 
-    The numbers make even blocks of `block` rows, so no task sorts more than one block of a key.
+    `sums` maps new column names to expressions. Null keys form a group of their own. With `peers`,
+    rows equal in `order` get the same sum. The rows are read twice and shuffled once.
     """
-    names = list(sums)
-    blocked = chunks.withColumn("_block", F.floor(F.col(chunk) / block))
-    totals = blocked.groupBy(*keys, "_block").agg(*[F.sum(sums[n]).alias(f"_t_{n}") for n in names])
-    earlier = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select(
-        *keys, "_block", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_t_{n}") for n in names]
-    )
-    inside = W.partitionBy(*keys, "_block").orderBy(chunk).rowsBetween(W.unboundedPreceding, W.currentRow)
-    joined = blocked.join(starts, [*keys, "_block"])
-    return joined.select(
-        *chunks.columns,
-        *[(F.col(f"_t_{n}") + F.sum(sums[n]).over(inside)).alias(n) for n in names],
-    )
+    sliced = _grouped(rows, keys).withColumn("_slice", F.floor(F.col(order[0]) / width_ms))
+    totals = _totals(sliced, sums)
+    if (totals.agg(F.max("_rows")).first()[0] or 0) > slice_rows:
+        sliced, totals = range_slices(rows, keys, order), None
+    return sums_over_slices(sliced, order, sums, peers, totals).select(*rows.columns, *sums)
+
+
+def running_over_positions(rows, keys, position, sums, block=1024, peers=False):
+    """Adds running sums along a column that numbers the rows of a key 0, 1, 2, …
+
+    The numbers make even blocks of `block` positions, so no task sorts more than one block of a key.
+    """
+    blocked = _grouped(rows, keys).withColumn("_block", F.floor(F.col(position) / block))
+    return sums_over_slices(blocked, [position], sums, peers, by="_block").select(*rows.columns, *sums)

@@ -114,9 +114,9 @@ def test_running_sums_keep_null_keys_and_work_without_keys(spark):
 
 
 @pytest.mark.parametrize("block", [2, 1024])
-def test_running_over_chunks(spark, block):
+def test_running_over_positions(spark, block):
     df = spark.createDataFrame([("a", i, 2) for i in range(9)], "k string, chunk long, v int")
-    got = ordered.running_over_chunks(df, ["k"], "chunk", {"s": F.col("v")}, block).collect()
+    got = ordered.running_over_positions(df, ["k"], "chunk", {"s": F.col("v")}, block).collect()
     assert {r.chunk: r.s for r in got} == {i: 2 * (i + 1) for i in range(9)}
 
 
