@@ -13,13 +13,13 @@ def lookup(facts, dim, key, defaults, version=None, broadcast_rows=BROADCAST_ROW
     """Left join of `facts` with one dimension row per key; unmatched rows take `defaults`.
 
     The dimension is broadcast only after a bounded count shows it has at most `broadcast_rows`
-    keys. A larger one is shuffled with each of its rows repeated over `salts` sub-keys, so a key
+    rows. A larger one is shuffled with each of its rows repeated over `salts` sub-keys, so a key
     that holds a large share of the facts is joined by that many tasks.
     """
     columns = list(defaults)
     one = last_per_key(dim.select(key, *columns, *([version] if version else [])), key, version)
     one = one.select(key, *columns, F.lit(True).alias("_found"))
-    if one.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if dim.select(key).limit(broadcast_rows + 1).count() <= broadcast_rows:
         joined = facts.join(F.broadcast(one), key, "left")
     else:
         spread = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

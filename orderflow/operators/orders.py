@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from orderflow.schemas import ORDER_KEYS, ORDER_NUMBERS, WIDE_ORDER_KEYS, WIDE_ORDER_NUMBERS
 
 
-def _parse(lines, keys, numbers, value):
+def _parse(lines, keys, numbers, value, keep=()):
     # A generator keeps later filters above the JSON parse, so each message is parsed once.
-    texts = lines.select(value, F.json_tuple(value, *keys).alias(*keys.values()))
+    texts = lines.select(value, *keep, F.json_tuple(value, *keys).alias(*keys.values()))
     bad = [
         F.when(F.col(f).try_cast(kind).isNull(), F.lit(f))
         for f, kind in numbers.items()
@@ -15,22 +15,25 @@ def _parse(lines, keys, numbers, value):
     return texts.withColumn("badFields", F.array_compact(F.array(*bad)))
 
 
-def _good(parsed, keys, numbers):
-    good = parsed.filter(F.size("badFields") == 0)
+def _good(parsed, keys, numbers, keep=()):
+    good = parsed
+    for field, kind in numbers.items():
+        good = good.filter(F.col(field).try_cast(kind).isNotNull())
     return good.select(*[
         F.col(f).try_cast(numbers[f]).alias(f) if f in numbers else F.coalesce(f, F.lit("")).alias(f)
         for f in keys.values()
-    ])
+    ], *keep)
 
 
-def parse_orders(lines, value="value", fields=None):
+def parse_orders(lines, value="value", fields=None, keep=()):
     """Order records. Missing or null text fields become ''; rows with unusable numbers are left out.
 
     With `fields`, only these are taken out of the JSON (the numbers are checked all the same).
+    `keep` names columns of `lines` to pass on, such as the arrival order.
     """
     keys = {k: f for k, f in ORDER_KEYS.items() if fields is None or f in fields or f in ORDER_NUMBERS}
-    records = _good(_parse(lines, keys, ORDER_NUMBERS, value), keys, ORDER_NUMBERS)
-    return records if fields is None else records.select(*fields)
+    records = _good(_parse(lines, keys, ORDER_NUMBERS, value, keep), keys, ORDER_NUMBERS, keep)
+    return records if fields is None else records.select(*fields, *keep)
 
 
 def reject_orders(lines, value="value"):

@@ -1,8 +1,8 @@
 """All registered queries and their SQL."""
 
-from orderflow.plans import function_queries, log_queries, order_queries, stream_queries
+from orderflow.plans import function_queries, job_queries, log_queries, order_queries, stream_queries
 
-_PARTS = (order_queries, log_queries, function_queries, stream_queries)
+_PARTS = (order_queries, log_queries, function_queries, stream_queries, job_queries)
 
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}

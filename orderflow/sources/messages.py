@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 
 def kafka_lines(spark, servers, topic, start="latest", streaming=True, **options):
-    """Message text of a Kafka topic.
+    """Message text of a Kafka topic, and its arrival order `seq`.
 
     Offsets live in the query checkpoint, so a restarted query goes on where it stopped and
     `start` only matters on the first run. Needs the spark-sql-kafka package on the cluster.
@@ -18,7 +18,9 @@ def kafka_lines(spark, servers, topic, start="latest", streaming=True, **options
         .option("startingOffsets", start)
         .options(**options)
     )
-    return reader.load().select(F.col("value").cast("string").alias("value"))
+    # `seq` orders the messages of a topic by arrival; the partition only breaks ties of the clock
+    arrival = F.struct("timestamp", "partition", "offset").alias("seq")
+    return reader.load().select(F.col("value").cast("string").alias("value"), arrival)
 
 
 def file_lines(spark, path, streaming=True, **options):
