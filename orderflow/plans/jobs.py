@@ -23,8 +23,19 @@ BATCH_COUNT = 10
 BATCH_INTERVAL_MS = MINUTE_MS
 
 
-def _orders(lines, late=windows.WATERMARK, keep=()):
-    return with_event_time(parse_orders(lines, keep=keep), late=late if lines.isStreaming else None)
+def _in_order(lines):
+    """Parsed orders with their arrival order `seq`; lines that have none are ordered by time."""
+    known = "seq" in lines.columns
+    orders = parse_orders(lines, keep=["seq"] if known else [])
+    return orders if known else orders.withColumn("seq", F.col("ct"))
+
+
+def _timed(orders):
+    return with_event_time(orders, late=windows.WATERMARK if orders.isStreaming else None)
+
+
+def _orders(lines):
+    return _timed(parse_orders(lines))
 
 
 def order_detail(lines):
@@ -37,11 +48,11 @@ def order_wide(lines, products):
     return messages.documents(lookup.widen_orders(parse_orders(lines), products), "order_wide", longs_as_text=True)
 
 
-def running_totals(lines, products, seq="seq"):
+def running_totals(lines, products):
     """Totals per departure code; update mode on a stream. Rows failing the quality rules are left out."""
-    wide = lookup.widen_orders(parse_orders(lines, keep=[seq]), products)
+    wide = lookup.widen_orders(_in_order(lines), products)
     passed, _ = logs.quality_gate(wide, "order_totals")
-    return windows.running_totals(passed, seq=seq)
+    return windows.running_totals(passed)
 
 
 def order_mwide(lines, products, hotels):
@@ -70,24 +81,23 @@ def hourly_stats_by_day(lines, approx=True):
     return messages.documents(stats, "hourly_stats", longs_as_text=True)
 
 
-def count_triggered_stats(lines, size=TRIGGER_COUNT, period_ms=TRIGGER_PERIOD_MS, seq="seq"):
+def count_triggered_stats(lines, size=TRIGGER_COUNT, period_ms=TRIGGER_PERIOD_MS):
     """Running statistics per traffic and hour at every `size` orders (batch)."""
-    orders = with_hour(parse_orders(lines, keep=[seq]))
-    stats = counted.count_triggered_stats(orders, ["traffic", "hourTime"], size, period_ms, order=("ct", seq))
+    stats = counted.count_triggered_stats(with_hour(_in_order(lines)), ["traffic", "hourTime"], size, period_ms)
     return messages.with_id(stats.drop("hourTime"), "hourly_stats")
 
 
 def count_triggered_stats_stream(lines, folder, checkpoint, size=TRIGGER_COUNT, period_ms=TRIGGER_PERIOD_MS,
                                  trigger=None):
     step = CountTriggered(["traffic", "hourTime"], size, period_ms, delay_ms=DELAY_MS)
-    stream = step.with_first_sights(with_hour(_orders(lines, keep=["seq"])))
+    stream = step.with_first_sights(with_hour(_timed(_in_order(lines))))
     return Carry(step, folder, step.carried_schema(stream)).start(stream, checkpoint, trigger)
 
 
-def count_or_time_stats(lines, products, size=BATCH_COUNT, interval_ms=BATCH_INTERVAL_MS, seq="seq"):
+def count_or_time_stats(lines, products, size=BATCH_COUNT, interval_ms=BATCH_INTERVAL_MS):
     """Statistics per product and tourism type for every `size` orders or interval end (batch)."""
-    wide = lookup.widen_orders(parse_orders(lines, keep=[seq]), products)
-    stats = counted.count_or_time_stats(wide, size=size, interval_ms=interval_ms, order=("ct", seq))
+    wide = lookup.widen_orders(_in_order(lines), products)
+    stats = counted.count_or_time_stats(wide, size=size, interval_ms=interval_ms)
     return messages.with_id(stats, "type_stats")
 
 
@@ -100,7 +110,7 @@ def count_or_time_stats_stream(lines, products, folder, checkpoint, size=BATCH_C
     step = CountOrTime(
         ["productType", "toursimType"], measures, size, interval_ms, DELAY_MS, columns=["userID", "fee"]
     )
-    stream = lookup.widen_orders(_orders(lines, keep=["seq"]), products)
+    stream = lookup.widen_orders(_in_order(lines), products)
     return Carry(step, folder, step.carried_schema(stream)).start(stream, checkpoint, trigger)
 
 
@@ -121,11 +131,12 @@ def top_products_stream(lines, folder, checkpoint, n=ranking.TOP_N, size=windows
 
 def type_stats(lines, products, size=windows.WINDOW, by_clock=False):
     """Statistics per product and tourism type as keyed messages, by event time or by the clock."""
-    wide = lookup.widen_orders(_orders(lines), products)
+    wide = lookup.widen_orders(parse_orders(lines), products)
     if by_clock:
-        wide = windows.stamped(wide.drop("ts"))
-        if lines.isStreaming:
-            wide = wide.withWatermark("ts", "0 seconds")
+        wide = windows.stamped(wide)
+        wide = wide.withWatermark("ts", "0 seconds") if wide.isStreaming else wide
+    else:
+        wide = _timed(wide)
     return messages.envelope(windows.type_stats(wide, size), "order_type_stats")
 
 

@@ -99,7 +99,9 @@ class CountTriggered:
             zero.alias("fee"), zero.alias("_order"), one.alias("_user"), zero.alias("_new"),
         )
         fresh = orders.unionByName(sights)
-        first_of_all = [F.col("startWindowTime") - 1, *[zero] * (len(self.order) - 1)]
+        # totals so far come before every row of their period
+        rest = [F.lit(None).cast(orders.schema[c].dataType) for c in self.order[1:]]
+        first_of_all = [F.col("startWindowTime") - 1, *rest]
         old = carried.select(
             *self.groups, *[v.alias(c) for c, v in zip(self.order, first_of_all)],
             "fee", "_order", "_user", zero.alias("_new"),
