@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderflow.operators.ordered import HOUR_MS, running_over_positions, running_sums
 from orderflow.operators.windows import average_fee, order_measures
+from orderflow.session import kept
 
 DAY_MS = 86_400_000
 
@@ -75,8 +76,9 @@ def running_snapshots(rows, groups, size, order, emit_tail=False, width_ms=HOUR_
             F.sum("_new").alias("_new"), F.max("ct").alias("ct"),
         )
     )
+    # one row per `size` orders, read twice below
     running = running_over_positions(
-        chunks, groups, "chunk", {"orders": F.col("_n"), "users": F.col("_u"), "totalFee": F.col("_f")}
+        kept(chunks), groups, "chunk", {"orders": F.col("_n"), "users": F.col("_u"), "totalFee": F.col("_f")}
     ).filter("_new > 0")
     if not emit_tail:
         running = running.filter(F.col("orders") == (F.col("chunk") + 1) * size)

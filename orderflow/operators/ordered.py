@@ -9,7 +9,7 @@ range-partitioned instead, which cuts evenly whatever the distribution.
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from orderflow.session import shared_folder
+from orderflow.session import kept
 
 HOUR_MS = 3_600_000
 # Most rows one slice may hold before the rows are range-partitioned.
@@ -17,11 +17,10 @@ SLICE_ROWS = 5_000_000
 
 
 def _totals(sliced, sums, by="_slice"):
-    """Row count and sums per slice: small next to the rows, and needed twice, so kept as a table."""
-    shared_folder(sliced.sparkSession)
+    """Row count and sums per slice."""
     return sliced.groupBy("_group", by).agg(
         F.count(F.lit(1)).alias("_rows"), *[F.sum(e).alias(f"_t_{n}") for n, e in sums.items()]
-    ).checkpoint()
+    )
 
 
 def _grouped(rows, keys):
@@ -31,11 +30,10 @@ def _grouped(rows, keys):
 
 def range_slices(rows, keys, order):
     """`rows` cut evenly into consecutive slices `_slice` of each `_group` of keys."""
-    shared_folder(rows.sparkSession)
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = _grouped(rows, keys).repartitionByRange(parts, "_group", *order)
     # Range bounds come from a sample; the checkpoint lets every later use see the same cut.
-    return ranged.withColumn("_slice", F.spark_partition_id().cast("bigint")).checkpoint()
+    return kept(ranged.withColumn("_slice", F.spark_partition_id().cast("bigint")))
 
 
 def sums_over_slices(sliced, order, sums, peers=False, totals=None, by="_slice"):
@@ -62,7 +60,8 @@ def running_sums(rows, keys, order, sums, width_ms=HOUR_MS, slice_rows=SLICE_ROW
     rows equal in `order` get the same sum. The rows are read twice and shuffled once.
     """
     sliced = _grouped(rows, keys).withColumn("_slice", F.floor(F.col(order[0]) / width_ms))
-    totals = _totals(sliced, sums)
+    # small next to the rows, and needed for the decision as well as for the sums
+    totals = kept(_totals(sliced, sums))
     if (totals.agg(F.max("_rows")).first()[0] or 0) > slice_rows:
         sliced, totals = range_slices(rows, keys, order), None
     return sums_over_slices(sliced, order, sums, peers, totals).select(*rows.columns, *sums)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderflow.operators import counted, logs, lookup, messages, patterns, ranking, windows
 from orderflow.operators.orders import parse_orders, with_event_time, with_hour
+from orderflow.session import kept
 from orderflow.streaming.carry import Carry
 from orderflow.streaming.landing import with_bucket
 from orderflow.streaming.steps import CountOrTime, CountTriggered, RepeatMatches, TopN
@@ -23,10 +24,10 @@ BATCH_COUNT = 10
 BATCH_INTERVAL_MS = MINUTE_MS
 
 
-def _in_order(lines):
+def _in_order(lines, fields=None):
     """Parsed orders with their arrival order `seq`; lines that have none are ordered by time."""
     known = "seq" in lines.columns
-    orders = parse_orders(lines, keep=["seq"] if known else [])
+    orders = parse_orders(lines, fields=fields, keep=["seq"] if known else [])
     return orders if known else orders.withColumn("seq", F.col("ct"))
 
 
@@ -83,7 +84,8 @@ def hourly_stats_by_day(lines, approx=True):
 
 def count_triggered_stats(lines, size=TRIGGER_COUNT, period_ms=TRIGGER_PERIOD_MS):
     """Running statistics per traffic and hour at every `size` orders (batch)."""
-    stats = counted.count_triggered_stats(with_hour(_in_order(lines)), ["traffic", "hourTime"], size, period_ms)
+    orders = kept(with_hour(_in_order(lines, ["traffic", "userID", "fee", "ct"])))
+    stats = counted.count_triggered_stats(orders, ["traffic", "hourTime"], size, period_ms)
     return messages.with_id(stats.drop("hourTime"), "hourly_stats")
 
 
@@ -96,7 +98,8 @@ def count_triggered_stats_stream(lines, folder, checkpoint, size=TRIGGER_COUNT,
 
 def count_or_time_stats(lines, products, size=BATCH_COUNT, interval_ms=BATCH_INTERVAL_MS):
     """Statistics per product and tourism type for every `size` orders or interval end (batch)."""
-    wide = lookup.widen_orders(_in_order(lines), products)
+    wide = lookup.widen_orders(_in_order(lines, ["productID", "userID", "fee", "ct"]), products)
+    wide = kept(wide.select("productType", "toursimType", "userID", "fee", "ct", "seq"))
     stats = counted.count_or_time_stats(wide, size=size, interval_ms=interval_ms)
     return messages.with_id(stats, "type_stats")
 
@@ -164,6 +167,7 @@ def product_views(lines):
 def behaviour_alerts(lines, low=5, high=50, times=patterns.TIMES, within_ms=patterns.WITHIN_MS, keys=()):
     """Alerts for runs of abnormal stays as keyed messages (batch)."""
     views = logs.page_views_only(logs.decode_logs(lines))
+    views = kept(views.select("sid", "userDevice", "userId", "userRegion", "userRegionIP", "duration", "ct"))
     matches = patterns.duration_matches(
         views, low, high, times=times, within_ms=within_ms, keys=keys, order=("sid",)
     )

@@ -30,6 +30,15 @@ def shared_folder(spark):
     return configured or os.path.dirname(context.getCheckpointDir())
 
 
+def kept(rows):
+    """The rows written out once, for operators that read their input more than once.
+
+    Worth it where a row is dear to get (JSON text) and only a few columns of it are needed.
+    """
+    shared_folder(rows.sparkSession)
+    return rows.checkpoint()
+
+
 def new_folder(spark, name):
     """An unused path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
