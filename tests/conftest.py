@@ -5,7 +5,7 @@ from orderflow.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, shuffle_partitions=4)
+    session = local_session(8, shuffle_partitions=3)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
