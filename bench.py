@@ -39,7 +39,7 @@ def main():
     times = {}
     for name in names:
         query = registry.QUERIES[name]
-        rounds = 1 if name.startswith(("stream", "landing")) else 3
+        rounds = 1 if name.startswith(("stream", "landing")) else 2
         if rounds > 1:
             run(query, spark, folder)
         times[name] = round(statistics.median(run(query, spark, folder) for _ in range(rounds)), 3)
