@@ -1,8 +1,23 @@
 """All registered queries and their SQL."""
 
+import functools
+
 from orderflow.plans import function_queries, job_queries, log_queries, order_queries, stream_queries
 
 _PARTS = (order_queries, log_queries, function_queries, stream_queries, job_queries)
 
-QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+
+
+def _in_utc(query):
+    """Hours and days of the registered queries are those of UTC, whatever the session's zone."""
+
+    @functools.wraps(query)
+    def run(spark, folder):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return query(spark, folder)
+
+    return run
+
+
+QUERIES = {name: _in_utc(query) for part in _PARTS for name, query in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
