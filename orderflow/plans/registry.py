@@ -7,7 +7,6 @@ from orderflow.plans import function_queries, job_queries, log_queries, order_qu
 _PARTS = (order_queries, log_queries, function_queries, stream_queries, job_queries)
 
 
-
 def _in_utc(query):
     """Hours and days of the registered queries are those of UTC, whatever the session's zone."""
 
