@@ -3,14 +3,16 @@
 import pytest
 
 import __spark_entry__ as entry
+from orderflow.plans import registry
 from tests.compare import differences, duck
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.QUERIES, registry.ORACLE
 
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
