@@ -1,5 +1,6 @@
 """Registered queries of this subpackage, one for each operator, over whole tables, and their SQL."""
 
+from orderflow.llm import repair
 from orderflow.llm.common import table
 from orderflow.llm.license_scan import PHRASES, TEMPLATES, THRESHOLD, licenses
 from orderflow.llm.quality_rules import STOP_WORDS, judged
@@ -9,12 +10,20 @@ def op3_license_scan(spark, folder):
     return licenses(table(spark, folder, "documents"))
 
 
+def op8_token_ids(spark, folder):
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return repair.decoded(repair.stored(table(spark, folder, "documents"), vocabulary))
+
+
 def op9_quality_rules(spark, folder):
     return judged(table(spark, folder, "documents"))
 
 
 QUERIES = {
     "op3_license_scan": op3_license_scan,
+    "op8_token_ids": op8_token_ids,
     "op9_quality_rules": op9_quality_rules,
 }
 
