@@ -3,6 +3,7 @@
 from orderflow.llm import repair
 from orderflow.llm.common import table
 from orderflow.llm.license_scan import PHRASES, TEMPLATES, THRESHOLD, licenses
+from orderflow.llm.lsh_forest import near_duplicates
 from orderflow.llm.quality_rules import STOP_WORDS, judged
 
 
@@ -10,6 +11,10 @@ def op3_license_scan(spark, folder):
     return licenses(table(spark, folder, "documents"))
 
 
+def op5_ngram_jaccard(spark, folder):
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op8_token_ids(spark, folder):
     import public_tokenizers
 
@@ -23,6 +28,7 @@ def op9_quality_rules(spark, folder):
 
 QUERIES = {
     "op3_license_scan": op3_license_scan,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op8_token_ids": op8_token_ids,
     "op9_quality_rules": op9_quality_rules,
 }
