@@ -32,11 +32,15 @@ def pieces(batch, column, most=2_000_000):
         at = end
 
 
-def spans(data, offsets, word):
-    """Starts and ends of the words (bytes marked in `word`), and the first word of each row."""
+def spans(data, offsets, word, cuts=None):
+    """Starts and ends of the words (bytes marked in `word`), and the first word of each row. `cuts` are two
+    classes of bytes: a word also ends where one stands next to the other."""
     inside = word[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
+    if cuts is not None:
+        one, other = cuts[0][data], cuts[1][data]
+        edge[1:-1] |= (one[1:] & other[:-1]) | (one[:-1] & other[1:])
     opens = inside & (edge[:-1] | ~np.concatenate(([False], inside[:-1])))
     closes = inside & (edge[1:] | ~np.concatenate((inside[1:], [False])))
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1

@@ -35,6 +35,8 @@ SHARD_IDS = 2_000_000
 LEAST_COUNT = 16
 ROUNDS = 12
 STEP = 256
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[65:91] += 32
 MEMO_WORDS = 1_000_000
 SHARD_SCHEMA = "part int, part_start long, n_docs long, n_ids long, data binary"
 
@@ -219,6 +221,10 @@ class WordEncoder:
         self.tokenizer, self.memo, self.known = Tokenizer.from_file(path), memo, {}
         self.word = np.ones(256, dtype=bool)
         self.word[[ord(x) for x in BLANKS]] = False
+        code = np.arange(256)
+        letter = ((code >= 48) & (code < 58)) | ((code >= 97) & (code < 123))
+        self.solid, self.sign = letter, self.word & (code < 128) & ~letter & (code != 39)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _learn(self, words, keys):
         """Encodes new words together, a space apart; a token belongs to the word it starts in."""
@@ -236,13 +242,19 @@ class WordEncoder:
     def encode(self, column):
         """The ids of all texts of an Arrow string column in one array, and where each text begins."""
         data, offsets = utf8(column)
-        starts, ends, first = spans(data, offsets, self.word)
+        cuts = None
+        lower = LOWERED[data]
+        text = lower.tobytes()
+        if any(x in text for x in self.special):
+            text = data.tobytes()
+        else:  # the tokenizer lowers letters, and sets letters and digits apart from other ASCII signs
+            data, cuts = lower, (self.solid, self.sign)
+        starts, ends, first = spans(data, offsets, self.word, cuts)
         keys, sample, which = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.known) > self.memo:
             self.known.clear()
         known, keys = self.known, keys.tolist()
         new = [k for k, key in enumerate(keys) if key not in known]
-        text = data.tobytes()
         spots = sample[new]
         words = [text[a:b].decode() for a, b in zip(starts[spots].tolist(), ends[spots].tolist())]
         self._learn(words, [keys[k] for k in new])
@@ -322,7 +334,7 @@ def decoded(shards):
                     "ids_crc32": pa.array(sums, pa.int64()),
                 })
 
-    placed = shards.join(parts, F.col("part") == F.col("p")).select(
+    placed = shards.join(F.broadcast(parts), F.col("part") == F.col("p")).select(
         (F.col("before") + F.col("part_start")).alias("start"), "data"
     )
     return placed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
