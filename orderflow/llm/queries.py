@@ -1,10 +1,22 @@
 """Registered queries of this subpackage, one for each operator, over whole tables, and their SQL."""
 
+from pyspark.sql import functions as F
+
 from orderflow.llm import repair
-from orderflow.llm.common import table
+from orderflow.llm.common import remainder_of_id, table
 from orderflow.llm.license_scan import PHRASES, TEMPLATES, THRESHOLD, licenses
+from orderflow.llm.line_crf import quality
 from orderflow.llm.lsh_forest import near_duplicates
 from orderflow.llm.quality_rules import STOP_WORDS, judged
+from orderflow.llm.toxicity import toxicity
+
+QUALITY_LIMIT, TOXIC_LIMIT = 0.7, 0.5
+
+
+def op2_quality_classifier(spark, folder):
+    scores = quality(table(spark, folder, "documents"), table(spark, folder, "labels"), split=4, held_out=2)
+    return scores.select("doc_id", (remainder_of_id(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= QUALITY_LIMIT).cast("int").alias("predicted"))
 
 
 def op3_license_scan(spark, folder):
@@ -15,6 +27,12 @@ def op5_ngram_jaccard(spark, folder):
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_toxicity(spark, folder):
+    scores = toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), split=5, held_out=0)
+    return scores.select("doc_id", (remainder_of_id(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_LIMIT).cast("int").alias("predicted"))
+
+
 def op8_token_ids(spark, folder):
     import public_tokenizers
 
@@ -27,8 +45,10 @@ def op9_quality_rules(spark, folder):
 
 
 QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_license_scan": op3_license_scan,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_toxicity": op6_toxicity,
     "op8_token_ids": op8_token_ids,
     "op9_quality_rules": op9_quality_rules,
 }
