@@ -7,12 +7,17 @@ from orderflow.llm.common import remainder_of_id, table
 from orderflow.llm.license_scan import PHRASES, TEMPLATES, THRESHOLD, licenses
 from orderflow.llm.line_crf import quality
 from orderflow.llm.lsh_forest import near_duplicates
+from orderflow.llm.qgram_filter import leaks
 from orderflow.llm.quality_rules import STOP_WORDS, judged
 from orderflow.llm.toxicity import toxicity
 
 QUALITY_LIMIT, TOXIC_LIMIT = 0.7, 0.5
 
 
+def op1_decontamination(spark, folder):
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op2_quality_classifier(spark, folder):
     scores = quality(table(spark, folder, "documents"), table(spark, folder, "labels"), split=4, held_out=2)
     return scores.select("doc_id", (remainder_of_id(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
@@ -45,6 +50,7 @@ def op9_quality_rules(spark, folder):
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_license_scan": op3_license_scan,
     "op5_ngram_jaccard": op5_ngram_jaccard,
