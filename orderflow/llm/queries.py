@@ -9,6 +9,7 @@ from orderflow.llm.line_crf import quality
 from orderflow.llm.lsh_forest import near_duplicates
 from orderflow.llm.qgram_filter import leaks
 from orderflow.llm.quality_rules import STOP_WORDS, judged
+from orderflow.llm.source_mix import mixture
 from orderflow.llm.toxicity import toxicity
 
 QUALITY_LIMIT, TOXIC_LIMIT = 0.7, 0.5
@@ -49,6 +50,10 @@ def op9_quality_rules(spark, folder):
     return judged(table(spark, folder, "documents"))
 
 
+def op10_source_mix(spark, folder):
+    return mixture(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_classifier": op2_quality_classifier,
@@ -57,6 +62,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op8_token_ids": op8_token_ids,
     "op9_quality_rules": op9_quality_rules,
+    "op10_source_mix": op10_source_mix,
 }
 
 
