@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from orderflow.llm import repair
 from orderflow.llm.common import remainder_of_id, table
+from orderflow.llm.host_rank import url_verdicts
 from orderflow.llm.license_scan import PHRASES, TEMPLATES, THRESHOLD, licenses
 from orderflow.llm.line_crf import quality
 from orderflow.llm.lsh_forest import near_duplicates
+from orderflow.llm.merkle_audit import FILE_SPAN, audit, warc_record
 from orderflow.llm.qgram_filter import leaks
 from orderflow.llm.quality_rules import STOP_WORDS, judged
 from orderflow.llm.source_mix import mixture
@@ -29,6 +31,10 @@ def op3_license_scan(spark, folder):
     return licenses(table(spark, folder, "documents"))
 
 
+def op4_url_filter(spark, folder):
+    return url_verdicts(table(spark, folder, "pages"))
+
+
 def op5_ngram_jaccard(spark, folder):
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -39,6 +45,18 @@ def op6_toxicity(spark, folder):
                          (F.col("score") >= TOXIC_LIMIT).cast("int").alias("predicted"))
 
 
+def op7_merkle_audit(spark, folder):
+    """Audits the pages as archive records against a replica with damage: bytes changed, records lost and
+    records written twice, each where the digest of the page's id begins with a certain byte."""
+    pages = table(spark, folder, "pages")
+    luck = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2)
+    body = F.coalesce("html", F.lit(""))
+    damaged = F.when(luck == "07", F.concat(F.lit("#"), F.substring(body, 2, 2**31 - 1))).otherwise(body)
+    times = F.when(luck == "08", 0).when(luck == "09", 2).otherwise(1)
+    copy = pages.select("page_id", "url", damaged.alias("html"), F.explode(F.array_repeat(F.lit(1), times)))
+    return audit(pages, copy, "page_id", warc_record(F.col("url"), F.col("html")))
+
+
 def op8_token_ids(spark, folder):
     import public_tokenizers
 
@@ -58,8 +76,10 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_license_scan": op3_license_scan,
+    "op4_url_filter": op4_url_filter,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_toxicity": op6_toxicity,
+    "op7_merkle_audit": op7_merkle_audit,
     "op8_token_ids": op8_token_ids,
     "op9_quality_rules": op9_quality_rules,
     "op10_source_mix": op10_source_mix,
@@ -102,6 +122,18 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base
     AS labels,
   CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE coalesce(more.c, 0)::DOUBLE END AS score
 FROM w LEFT JOIN base USING (r) LEFT JOIN more USING (r)""",
+    "op7_merkle_audit": f"""
+WITH p AS (
+  SELECT page_id AS id, page_id // {FILE_SPAN} AS file, left(md5(CAST(page_id AS VARCHAR)), 2) AS luck,
+    strlen('WARC/1.1' || 'WARC-Type: response' || 'WARC-Target-URI: ' || coalesce(url, '') || 'Content-Length: '
+      || strlen(coalesce(html, '')) || coalesce(html, '')) + 14 AS length
+  FROM pages),
+placed AS (
+  SELECT *, coalesce(sum(length) OVER (
+    PARTITION BY file ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "offset" FROM p)
+SELECT id, CASE luck WHEN '07' THEN 'changed' WHEN '08' THEN 'missing' ELSE 'extra' END AS kind, file,
+  CAST("offset" AS BIGINT) AS "offset", CAST(length AS BIGINT) AS length
+FROM placed WHERE luck IN ('07', '08', '09')""",
     "op9_quality_rules": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
