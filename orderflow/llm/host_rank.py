@@ -21,7 +21,7 @@ from orderflow.llm.common import ascii_lower, written
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 DAMPING = 0.85
 TURNS = 12
-CUT_EVERY = 4
+CUT_EVERY = 2
 LIMIT = 0.5
 LINKS = r"""(?i)\b(?:href|src)\s*=\s*["']?([^"'\s>]+)"""
 
