@@ -37,26 +37,37 @@ def _array_entries(array, element, name):
     return F.transform(array, lambda x, i: F.struct(key(i).alias("key"), x.cast("string").alias("value")))
 
 
+def _last_of_key(entries):
+    """Of entries with one key the last."""
+    keys = F.reverse(F.transform(entries, lambda e: e["key"]))
+    return F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == F.size(entries) - i)
+
+
 def _flat(value, schema):
-    # bound as a lambda argument, so the value is worked out once however many fields it has
+    # bound as lambda arguments, so each is worked out once however often it is used
     bound = F.transform(F.array(value), lambda v: F.filter(_entries(v, schema, None), lambda e: e["value"].isNotNull()))
-    return bound[0]
+    return F.transform(bound, _last_of_key)[0]
 
 
 def flat_entries(value, schema):
     """A nested value as an array of (key, value) texts.
 
     A key is the name with its direct parent's name in front; elements of an array carry their
-    index. Missing values are left out.
+    index. Missing values are left out; of entries with one key the last stays.
     """
     return _flat(F.col(value), schema)
 
 
 def flat_map(value, schema):
-    """`flat_entries` as a map; set spark.sql.mapKeyDedupPolicy=LAST_WIN if keys may repeat."""
+    """`flat_entries` as a map."""
     return F.map_from_entries(flat_entries(value, schema))
 
 
 def flat_json(text, schema):
     """Flattened map of JSON text with a known schema."""
-    return F.map_from_entries(_flat(F.from_json(text, schema), schema))
+    return F.map_from_entries(flat_json_entries(text, schema))
+
+
+def flat_json_entries(text, schema):
+    """`flat_entries` of JSON text with a known schema; cheaper than the map where rows are exploded."""
+    return _flat(F.from_json(text, schema), schema)

@@ -48,8 +48,8 @@ def subset(rows, wanted):
 
 
 def message_key(kind, sep=""):
-    """md5 of the joined key fields of the record kind."""
-    return F.md5(F.concat_ws(sep, *[F.col(c).cast("string") for c in MESSAGE_KEYS[kind]]))
+    """md5 of the joined key fields of the record kind; a null counts as an empty field."""
+    return F.md5(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in MESSAGE_KEYS[kind]]))
 
 
 def envelope(rows, kind, sep="", longs_as_text=True):

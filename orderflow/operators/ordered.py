@@ -1,26 +1,19 @@
 """Row numbers and running sums along an ordered key, computed in slices.
 
-A window function ordered over a whole key puts that key in one task. Here the key is cut into
-consecutive slices, each slice is numbered by its own task, and the sizes of the earlier slices
-are added. Slices are stretches of time; where a stretch is too full for one task, the rows are
-range-partitioned instead, which cuts evenly whatever the distribution.
+A window function ordered over a whole key puts that key in one task. Here the rows are
+range-partitioned by key and order, which cuts evenly whatever the distribution; each slice is summed
+by its own task, and the totals of the earlier slices are added. One form serves every size.
 """
 
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from orderflow.session import kept
-
-HOUR_MS = 3_600_000
-# Most rows one slice may hold before the rows are range-partitioned.
-SLICE_ROWS = 5_000_000
+from orderflow.session import stored
 
 
 def _totals(sliced, sums, by="_slice"):
-    """Row count and sums per slice."""
-    return sliced.groupBy("_group", by).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.sum(e).alias(f"_t_{n}") for n, e in sums.items()]
-    )
+    """Sums per slice."""
+    return sliced.groupBy("_group", by).agg(*[F.sum(e).alias(f"_t_{n}") for n, e in sums.items()])
 
 
 def _grouped(rows, keys):
@@ -28,17 +21,22 @@ def _grouped(rows, keys):
     return rows.withColumn("_group", F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0)))
 
 
+def tie_break(rows):
+    """A hash of the whole row: with it behind the order, only equal rows can change places."""
+    return F.xxhash64(*rows.columns)
+
+
 def range_slices(rows, keys, order):
-    """`rows` cut evenly into consecutive slices `_slice` of each `_group` of keys."""
+    """`rows` cut evenly into consecutive slices `_slice` of each `_group` of keys; nulls come first."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = _grouped(rows, keys).repartitionByRange(parts, "_group", *order)
-    # Range bounds come from a sample; the checkpoint lets every later use see the same cut.
-    return kept(ranged.withColumn("_slice", F.spark_partition_id().cast("bigint")))
+    # Range bounds come from a sample; what is written lets every later use see the same cut.
+    return stored(ranged.withColumn("_slice", F.spark_partition_id().cast("bigint")), "slices")
 
 
-def sums_over_slices(sliced, order, sums, peers=False, totals=None, by="_slice"):
+def sums_over_slices(sliced, order, sums, peers=False, by="_slice"):
     """Adds inclusive running sums along `order` to sliced rows: one exchange of the rows."""
-    totals = _totals(sliced, sums, by) if totals is None else totals
+    totals = _totals(sliced, sums, by)
     earlier = W.partitionBy("_group").orderBy(by).rowsBetween(W.unboundedPreceding, -1)
     starts = totals.select(
         "_group", by, *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_t_{n}") for n in sums]
@@ -53,18 +51,14 @@ def sums_over_slices(sliced, order, sums, peers=False, totals=None, by="_slice")
     )
 
 
-def running_sums(rows, keys, order, sums, width_ms=HOUR_MS, slice_rows=SLICE_ROWS, peers=False):
-    """Adds inclusive running sums along `order` (first an epoch-millisecond column) inside `keys`.
+def running_sums(rows, keys, order, sums):
+    """Adds inclusive running sums along `order` inside `keys`; of rows equal in `order` any may come first.
 
-    `sums` maps new column names to expressions. Null keys form a group of their own. With `peers`,
-    rows equal in `order` get the same sum. The rows are read twice and shuffled once.
+    `sums` maps new column names to expressions. Null keys form a group of their own and null order values
+    come first. The rows are written once, so hand over only the columns that are needed.
     """
-    sliced = _grouped(rows, keys).withColumn("_slice", F.floor(F.col(order[0]) / width_ms))
-    # small next to the rows, and needed for the decision as well as for the sums
-    totals = kept(_totals(sliced, sums))
-    if (totals.agg(F.max("_rows")).first()[0] or 0) > slice_rows:
-        sliced, totals = range_slices(rows, keys, order), None
-    return sums_over_slices(sliced, order, sums, peers, totals).select(*rows.columns, *sums)
+    sliced = range_slices(rows, keys, order)
+    return sums_over_slices(sliced, order, sums).select(*rows.columns, *sums)
 
 
 def running_over_positions(rows, keys, position, sums, block=1024, peers=False):

@@ -77,7 +77,8 @@ def repeat_matches(rows, hit, times=TIMES, within_ms=WITHIN_MS, keys=(), ct="ct"
     than `within_ms` after the first; every sub-run that qualifies is a match of its own.
     Without `keys` "consecutive" means over all rows.
     """
-    base = rows.select("*", F.coalesce(hit, F.lit(False)).alias("_hit"))
+    # without a time a row is in no run, whichever form counts
+    base = rows.filter(F.col(ct).isNotNull()).select("*", F.coalesce(hit, F.lit(False)).alias("_hit"))
     placed = with_stretches(base, ct, within_ms, span=span)
     if _too_full(placed, [*keys, "_stretch"], stretch_rows):
         counted = _matches_by_position(base, times, within_ms, list(keys), ct, list(order))
@@ -148,7 +149,7 @@ def repeat_events(rows, hit, times=TIMES, within_ms=WITHIN_MS, keys=(), ct="ct",
                   stretch_rows=STRETCH_ROWS):
     """Rows satisfying `hit` that are at least the `times`-th such row within `within_ms`, other rows
     in between allowed; `inWindow` is the number of such rows up to and including this one."""
-    hits = rows.filter(hit)
+    hits = rows.filter(hit & F.col(ct).isNotNull())
     placed = with_stretches(hits, ct, within_ms, after=False, span=span)
     part = [*keys, "_stretch"]
     by_time = ["_at", "_enters", ct, *order]
@@ -168,8 +169,9 @@ def duration_matches(views, low=5, high=50, **options):
     return repeat_matches(views, abnormal_duration(low, high), **options)
 
 
-def alerts(matches, repeat=True):
-    """Alert records: one per match a row is in, or with `repeat=False` one per row."""
+def alerts(matches, repeat=False):
+    """Alert records: one per row that is in a match. With `repeat` a row comes once for each match it is in;
+    their number grows with the square of a run, so ask for it only where runs are short."""
     if repeat:
         matches = matches.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("matches"))))
     renames = {"userRegionIp": "userRegionIP"}

@@ -62,13 +62,13 @@ PRODUCTS_SQL = """products AS (
   SELECT CAST(p_partkey AS VARCHAR) AS "productID", p_size % 5 + 1 AS "productLevel",
     p_type AS "productType", p_brand AS "depCode", 'C' || (p_partkey % 13) AS "desCode",
     CASE WHEN p_size % 2 = 0 THEN '0' ELSE '1' END AS "toursimType"
-  FROM part WHERE p_partkey % 10 <> 3)"""
+  FROM part)"""
 
 HOTELS_SQL = """hotels AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS "pubID", CAST(s_nationkey % 5 + 1 AS VARCHAR) AS "pubStar",
     CASE WHEN s_acctbal < 0 THEN 'C' WHEN s_acctbal < 5000 THEN 'B' ELSE 'A' END AS "pubGrade",
     CASE WHEN s_nationkey < 12 THEN '1' ELSE '0' END AS "isNational"
-  FROM supplier WHERE s_suppkey % 10 <> 7)"""
+  FROM supplier)"""
 
 WIDE_SQL = f"""{ORDERS_SQL},
 {PRODUCTS_SQL},

@@ -91,14 +91,13 @@ def json_flatten(spark, folder):
         F.array(item, item).alias("items"),
     ))
     rows = base.orders(spark, folder).select("orderID", text_of.alias("value"))
-    return rows.select("orderID", F.explode(jsons.flat_json("value", NESTED)).alias("key", "text"))
+    entry = F.explode(jsons.flat_json_entries("value", NESTED)).alias("e")
+    return rows.select("orderID", entry).select("orderID", F.col("e.key").alias("key"), F.col("e.value").alias("text"))
 
 
 def json_single_level(spark, folder):
     rows = base.order_lines(spark, folder).select(jsons.text_map("value").alias("m"))
-    return rows.select(F.col("m")["order_id"].alias("orderID"), F.explode("m").alias("key", "text")).filter(
-        F.col("key").isin("product_id", "product_fee", "order_ct")
-    )
+    return rows.select(F.col("m")["order_id"].alias("orderID"), F.explode("m").alias("key", "text"))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -134,6 +133,6 @@ SELECT "orderID", e.key, e.text FROM orders_d, unnest([
   {{'key': 'items_1_product', 'text': "productID"}}, {{'key': 'items_1_fee', 'text': CAST(fee AS VARCHAR)}}]) u(e)
 WHERE e.text IS NOT NULL""",
     "json_single_level": f"""WITH {ORDERS_SQL}
-SELECT "orderID", e.key, e.text FROM orders_d, unnest([{{'key': 'product_id', 'text': "productID"}},
-  {{'key': 'product_fee', 'text': CAST(fee AS VARCHAR)}}, {{'key': 'order_ct', 'text': CAST(ct AS VARCHAR)}}]) u(e)""",
+SELECT "orderID", e.key, e.text FROM orders_d, unnest([{", ".join(
+    f"{{'key': '{key}', 'text': CAST(" + '"' + field + '"' + " AS VARCHAR)}" for key, field in tables.ORDER_KEYS.items())}]) u(e)""",
 }

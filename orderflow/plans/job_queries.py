@@ -146,5 +146,6 @@ SELECT md5(sid || "userDevice" || "userId") AS key, 'P' || CASE WHEN i = 0 THEN
   CAST(k % 9 AS VARCHAR) AS "travelTime"
 FROM logs, (VALUES (0), (1)) s(i) WHERE event_type = 'purchase' AND event_id % 10 <> 1""",
     "job_behaviour_alerts": f"""WITH {_matches_sql(2 * HOUR)}
-SELECT md5("userId" || "userRegion" || "userRegionIP") AS key, "userId", duration, CAST(ct AS VARCHAR) AS ct FROM alerted""",
+SELECT md5("userId" || "userRegion" || "userRegionIP") AS key, "userId", duration, CAST(ct AS VARCHAR) AS ct
+FROM (SELECT DISTINCT * FROM alerted)""",
 }

@@ -8,8 +8,8 @@ batch to batch. `orderflow.streaming.sinks` has the sinks.
 from pyspark.sql import functions as F
 
 from orderflow.operators import counted, logs, lookup, messages, patterns, ranking, windows
-from orderflow.operators.orders import parse_orders, with_event_time, with_hour
-from orderflow.session import kept
+from orderflow.operators.orders import parse_orders, reject_orders, with_event_time, with_hour
+from orderflow.session import stored
 from orderflow.streaming.carry import Carry
 from orderflow.streaming.landing import with_bucket
 from orderflow.streaming.steps import CountOrTime, CountTriggered, RepeatMatches, TopN
@@ -56,6 +56,16 @@ def running_totals(lines, products):
     return windows.running_totals(passed)
 
 
+def rejected_totals(lines, products):
+    """The rows `running_totals` leaves out, with their problems."""
+    return logs.quality_gate(lookup.widen_orders(_in_order(lines), products), "order_totals")[1]
+
+
+def rejected_orders(lines):
+    """The lines that no order job can read, with the fields at fault."""
+    return reject_orders(lines)
+
+
 def order_mwide(lines, products, hotels):
     """Orders with product and hotel attributes as keyed messages."""
     return messages.envelope(lookup.widen_orders_two(parse_orders(lines), products, hotels), "order_mwide")
@@ -75,16 +85,16 @@ def region_stats_documents(lines, size=windows.WINDOW):
     return messages.documents(windows.region_traffic_stats(_orders(lines), size), "order_stats", longs_as_text=True)
 
 
-def hourly_stats_by_day(lines, approx=True):
-    """Statistics per traffic and hour inside UTC+8 days as documents; update mode on a one-minute
-    trigger, or append mode with `approx=False`."""
+def hourly_stats_by_day(lines, approx=False):
+    """Statistics per traffic and hour inside UTC+8 days as documents; append mode on a stream. With `approx`
+    users are estimated, which allows update mode on a one-minute trigger."""
     stats = windows.hourly_day_stats(with_hour(_orders(lines)), processed_at=F.current_timestamp(), approx=approx)
     return messages.documents(stats, "hourly_stats", longs_as_text=True)
 
 
 def count_triggered_stats(lines, size=TRIGGER_COUNT, period_ms=TRIGGER_PERIOD_MS):
     """Running statistics per traffic and hour at every `size` orders (batch)."""
-    orders = kept(with_hour(_in_order(lines, ["traffic", "userID", "fee", "ct"])))
+    orders = with_hour(_in_order(lines, ["traffic", "userID", "fee", "ct"]))
     stats = counted.count_triggered_stats(orders, ["traffic", "hourTime"], size, period_ms)
     return messages.with_id(stats.drop("hourTime"), "hourly_stats")
 
@@ -99,7 +109,6 @@ def count_triggered_stats_stream(lines, folder, checkpoint, size=TRIGGER_COUNT,
 def count_or_time_stats(lines, products, size=BATCH_COUNT, interval_ms=BATCH_INTERVAL_MS):
     """Statistics per product and tourism type for every `size` orders or interval end (batch)."""
     wide = lookup.widen_orders(_in_order(lines, ["productID", "userID", "fee", "ct"]), products)
-    wide = kept(wide.select("productType", "toursimType", "userID", "fee", "ct", "seq"))
     stats = counted.count_or_time_stats(wide, size=size, interval_ms=interval_ms)
     return messages.with_id(stats, "type_stats")
 
@@ -155,6 +164,16 @@ def page_views(lines):
     return passed
 
 
+def rejected_clicks(lines):
+    """The clicks that `clicks` leaves out, with their problems."""
+    return logs.quality_gate(logs.click_records(logs.decode_logs(lines)), "click")[1]
+
+
+def rejected_page_views(lines):
+    """The page views that `page_views` leaves out, with their problems."""
+    return logs.quality_gate(logs.page_view_records(logs.decode_logs(lines)), "page_view")[1]
+
+
 def page_view_messages(lines):
     return messages.envelope(logs.page_view_records(logs.decode_logs(lines)), "page_view")
 
@@ -167,7 +186,7 @@ def product_views(lines):
 def behaviour_alerts(lines, low=5, high=50, times=patterns.TIMES, within_ms=patterns.WITHIN_MS, keys=()):
     """Alerts for runs of abnormal stays as keyed messages (batch)."""
     views = logs.page_views_only(logs.decode_logs(lines))
-    views = kept(views.select("sid", "userDevice", "userId", "userRegion", "userRegionIP", "duration", "ct"))
+    views = stored(views.select("sid", "userDevice", "userId", "userRegion", "userRegionIP", "duration", "ct"), "views")
     matches = patterns.duration_matches(
         views, low, high, times=times, within_ms=within_ms, keys=keys, order=("sid",)
     )

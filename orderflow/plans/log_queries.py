@@ -16,7 +16,7 @@ def _views(spark, folder):
 
 
 def log_decode(spark, folder):
-    return ops.decode_logs(base.log_lines(spark, folder)).drop("exts")
+    return ops.decode_logs(base.log_lines(spark, folder))
 
 
 def log_click(spark, folder):
@@ -34,9 +34,9 @@ def log_viewlist_flat(spark, folder):
 def log_event_filters(spark, folder):
     logs = base.logs(spark, folder)
     kinds = {"interactive": ops.INTERACTIVE_EVENTS, "any": ops.ALL_EVENTS, "click": (ops.CLICK_EVENT,)}
-    return logs.agg(*[
-        F.count_if(F.col("eventType").isin(*codes)).alias(name) for name, codes in kinds.items()
-    ])
+    counts = [ops.events_in(logs, codes).select(F.lit(name).alias("kind")) for name, codes in kinds.items()]
+    rows = counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return rows.groupBy("kind").agg(F.count("kind").alias("events"))
 
 
 def log_quality_gate(spark, folder):
@@ -66,12 +66,12 @@ def cep_duration_matches(spark, folder):
 
 def cep_duration_alerts(spark, folder):
     """The alert records themselves: a page view appears once for each alert it is in."""
-    return patterns.alerts(patterns.duration_matches(_views(spark, folder), within_ms=2 * HOUR))
+    return patterns.alerts(patterns.duration_matches(_views(spark, folder), within_ms=2 * HOUR), repeat=True)
 
 
 def cep_duration_events(spark, folder):
     matches = patterns.duration_matches(_views(spark, folder), within_ms=6 * HOUR)
-    return patterns.alerts(matches, repeat=False)
+    return patterns.alerts(matches)
 
 
 def cep_duration_by_user(spark, folder):
@@ -161,12 +161,12 @@ NARROW = (
 VIEWS_SQL = f"{LOGS_SQL},\nviews AS (SELECT * FROM logs WHERE action IN ('07', '08'))"
 
 
-def _matches_sql(within, by_user=False):
+def _matches_sql(within, by_user=False, views=None):
     part = 'PARTITION BY "userId"' if by_user else ""
     run_part = '"userId", run' if by_user else "run"
     same_user = 'AND a."userId" = b."userId"' if by_user else ""
     between = 'AND p."userId" = m.u' if by_user else ""
-    return f"""{VIEWS_SQL},
+    return f"""{views or VIEWS_SQL},
 flagged AS (SELECT *, CAST(duration AS BIGINT) < 5 OR CAST(duration AS BIGINT) > 50 AS hit FROM views),
 runs AS (SELECT *, sum(CASE WHEN hit THEN 0 ELSE 1 END) OVER ({part} ORDER BY ct, event_id ROWS UNBOUNDED PRECEDING) AS run FROM flagged),
 placed AS (SELECT *, row_number() OVER (PARTITION BY {run_part} ORDER BY ct, event_id) AS pos FROM runs WHERE hit),
@@ -199,7 +199,14 @@ def _code_case(column, rows, at):
 
 
 ORACLE = {
-    "log_decode": f'WITH {LOGS_SQL} SELECT {NARROW}, "userRegionIP", "hotTarget" FROM logs',
+    "log_decode": f"""WITH {LOGS_SQL}
+SELECT {NARROW}, "userRegionIP", "hotTarget", CASE
+  WHEN event_type = 'click' THEN '{{"targetID":"P' || k || '","eventTargetType":"T' || (k % 7) || '"}}'
+  WHEN event_type <> 'purchase' THEN '{{"targetID":"P' || k || '"}}'
+  WHEN event_id % 10 = 1 THEN ''
+  ELSE '{{"travelSendTime":"202002","travelTime":"' || (k % 9) || '","productLevel":"' || (k % 5)
+    || '","targetIDS":"[\\"P' || k || '\\",\\"P' || ((k + 1) % 100) || '\\"]","travelSend":"52","productType":"0' || (k % 3) || '"}}'
+  END AS exts FROM logs""",
     "log_click": f"""WITH {LOGS_SQL}
 SELECT {NARROW}, 'P' || k AS "targetId", 'T' || (k % 7) AS "eventTargetType" FROM logs WHERE event_type = 'click'""",
     "log_pageview": f"""WITH {VIEWS_SQL} SELECT {NARROW}, "userRegionIP", 'P' || k AS "targetId" FROM views""",
@@ -209,8 +216,8 @@ SELECT {NARROW}, 'P' || CASE WHEN i = 0 THEN k ELSE (k + 1) % 100 END AS "target
   '0' || (k % 3) AS "productType"
 FROM logs, (VALUES (0), (1)) s(i) WHERE event_type = 'purchase' AND event_id % 10 <> 1""",
     "log_event_filters": f"""WITH {LOGS_SQL}
-SELECT count(*) FILTER ("eventType" IN ('01', '02', '04')) AS interactive, count(*) AS any,
-  count(*) FILTER ("eventType" = '02') AS click FROM logs""",
+SELECT 'interactive' AS kind, count(*) AS events FROM logs WHERE "eventType" IN ('01', '02', '04')
+UNION ALL SELECT 'any', count(*) FROM logs UNION ALL SELECT 'click', count(*) FROM logs WHERE "eventType" = '02'""",
     "log_quality_gate": f"""WITH {LOGS_SQL}
 SELECT sid, concat_ws('; ', CASE WHEN event_id % 13 = 0 THEN 'action is null' END,
   CASE WHEN event_id % 17 = 0 THEN 'eventType is null' END, CASE WHEN event_id % 19 = 0 THEN 'ct is zero' END) AS problems

@@ -10,10 +10,15 @@ _PARTS = (order_queries, log_queries, function_queries, stream_queries, job_quer
 def _in_utc(query):
     """Hours and days of the registered queries are those of UTC, whatever the session's zone."""
 
+    # the zone is bound when a plan is made, so the caller's setting can be put back afterwards
     @functools.wraps(query)
     def run(spark, folder):
+        zone = spark.conf.get("spark.sql.session.timeZone")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return query(spark, folder)
+        try:
+            return query(spark, folder)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
 
     return run
 

@@ -22,23 +22,28 @@ def local_session(cores="*", shuffle_partitions=8, memory="8g", app="orderflow")
 
 
 def shared_folder(spark):
-    """The folder every executor can reach: `spark.checkpoint.dir`, or a temporary one if unset."""
+    """The folder every executor can reach: `spark.checkpoint.dir`. A local session may do without, and gets a
+    temporary folder; elsewhere a folder of one machine would lose data, so that is an error."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None and context.getCheckpointDir() is None and not _is_local(context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="orderflow-"))
     return configured or os.path.dirname(context.getCheckpointDir())
 
 
-def kept(rows):
-    """The rows written out once, for operators that read their input more than once.
-
-    Worth it where a row is dear to get (JSON text) and only a few columns of it are needed.
-    """
-    shared_folder(rows.sparkSession)
-    return rows.checkpoint()
+def _is_local(master):
+    return master == "local" or master.startswith("local[")
 
 
 def new_folder(spark, name):
     """An unused path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(rows, name):
+    """The rows written once to the shared folder and read back, for operators that read them more than once."""
+    path = new_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

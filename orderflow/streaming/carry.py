@@ -2,12 +2,18 @@
 
 The step itself is ordinary DataFrame code over (carried rows, new rows), so a key that holds most
 of a batch is spread by the same means as in batch queries. Results, carried rows and the clock are
-written under the batch id; a batch that is replayed after a failure reads what the batch before it
-left and overwrites its own output.
+written under the run, which the checkpoint stands for, and the batch id: a batch that is replayed after a
+failure reads what the batch before it left and overwrites its own output, and a query with another
+checkpoint leaves both alone. Results are those of the run that was started last.
 """
 
 from pyspark.sql import functions as F
 
+from orderflow.streaming.keyed_table import run_of
+
+# A time after every event: what is still open then is closed.
+END_OF_TIME = 1 << 60
+
 
 class Carry:
     """`step(carried, batch, before, now)` gives (results, rows to carry, frames cached on the way).
@@ -17,12 +23,14 @@ class Carry:
 
     def __init__(self, step, folder, carried_schema, ct="ct"):
         self.step, self.folder, self.schema, self.ct = step, folder.rstrip("/"), carried_schema, ct
+        self.run, self.last = "0", None
 
     def _slot(self, kind, batch_id):
-        return f"{self.folder}/{kind}/slot={batch_id % 2}"
+        return f"{self.folder}/run={self.run}/{kind}/slot={batch_id % 2}"
 
-    def __call__(self, batch, batch_id):
-        spark = batch.sparkSession
+    def __call__(self, batch, batch_id, until=None):
+        """Takes one batch; `until` puts the clock forward."""
+        spark, self.last = batch.sparkSession, batch_id
         batch = batch.persist()
         before = None
         carried = spark.createDataFrame([], self.schema)
@@ -30,9 +38,9 @@ class Carry:
             before = spark.read.parquet(self._slot("clock", batch_id - 1)).first()["clock"]
             carried = spark.read.schema(self.schema).parquet(self._slot("carried", batch_id - 1))
         now = batch.agg(F.max(self.ct).cast("bigint")).first()[0]
-        now = max((t for t in (before, now) if t is not None), default=None)
+        now = max((t for t in (before, now, until) if t is not None), default=None)
         results, keep, cached = self.step(carried, batch, before, now)
-        results.write.mode("overwrite").parquet(f"{self.folder}/results/_batch={batch_id}")
+        results.write.mode("overwrite").parquet(f"{self.folder}/run={self.run}/results/_batch={batch_id}")
         keep.write.mode("overwrite").parquet(self._slot("carried", batch_id))
         clock = spark.range(1).select(F.lit(now).cast("bigint").alias("clock"))
         clock.write.mode("overwrite").parquet(self._slot("clock", batch_id))
@@ -40,8 +48,15 @@ class Carry:
             frame.unpersist()
 
     def start(self, stream, checkpoint, trigger=None, mode="append"):
+        self.run, self.columns = run_of(checkpoint), stream.schema
         writer = stream.writeStream.foreachBatch(self).outputMode(mode).option("checkpointLocation", checkpoint)
         return writer.trigger(**(trigger or {"processingTime": "3 seconds"})).start()
 
+    def drain(self, spark):
+        """After a bounded stream has ended: one more batch without rows, past the end of time, gives out what
+        is still open. A stream that may go on must not be drained."""
+        if self.last is not None:
+            self(spark.createDataFrame([], self.columns), self.last + 1, END_OF_TIME)
+
     def results(self, spark):
-        return spark.read.parquet(f"{self.folder}/results").drop("_batch")
+        return spark.read.parquet(f"{self.folder}/run={self.run}/results").drop("_batch")

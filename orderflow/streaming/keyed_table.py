@@ -1,42 +1,54 @@
 """Upserts by key into a folder of parquet files.
 
-Each micro-batch adds one `_batch=<id>` folder with its last row per key; a replayed batch writes
-the same folder again, so nothing is applied twice. Readers take the newest row per key.
+Each micro-batch of a run adds one `_run=<run>/_batch=<id>` folder with its last row per key; a replayed
+batch writes the same folder again, so nothing is applied twice, and another run never writes over it.
+Readers take the row with the greatest version per key, of equals the one written by the later batch.
 """
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 
+def run_of(checkpoint):
+    """The run that a checkpoint stands for: a query restarted from it goes on with the same folders."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
 class KeyedTable:
-    def __init__(self, path, key, version=None):
-        self.path, self.key, self.version = path.rstrip("/"), key, version
+    """`version` names the column, or columns, that tell the newer of two rows of a key."""
+
+    def __init__(self, path, key, version):
+        self.path, self.key = path.rstrip("/"), key
+        self.version = [version] if isinstance(version, str) else list(version)
+        if not self.version:
+            raise ValueError("a keyed table needs a version column")
 
     def _newest(self, rows, order, merge):
-        rest = [c for c in rows.columns if c not in (self.key, "_batch")]
+        rest = [c for c in rows.columns if c not in (self.key, "_run", "_batch")]
         if merge:
             # field by field: a null does not overwrite what an earlier row has set
-            kept = [F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in rest]
-            return rows.groupBy(self.key).agg(*kept)
+            fields = [F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in rest]
+            return rows.groupBy(self.key).agg(*fields)
         return rows.groupBy(self.key).agg(F.max_by(F.struct(*rest), order).alias("r")).select(self.key, "r.*")
 
-    def write(self, rows, batch_id, merge=False):
-        """Stores the last row per key of a batch; rows without a key are left out."""
-        order = F.col(self.version) if self.version else F.struct(*[c for c in rows.columns if c != self.key])
-        last = self._newest(rows.filter(F.col(self.key).isNotNull()), order, merge)
-        last.write.mode("overwrite").parquet(f"{self.path}/_batch={batch_id}")
+    def write(self, rows, batch_id, merge=False, run="0"):
+        """Stores the newest row per key of a batch; rows without a key are left out."""
+        last = self._newest(rows.filter(F.col(self.key).isNotNull()), F.struct(*self.version), merge)
+        last.write.mode("overwrite").parquet(f"{self.path}/_run={run}/_batch={batch_id}")
 
     def read(self, spark, merge=False):
         """The current row of every key."""
         rows = spark.read.parquet(self.path)
-        order = F.struct("_batch", *([self.version] if self.version else []))
-        return self._newest(rows, order, merge)
+        return self._newest(rows, F.struct(*self.version, "_batch", F.col("_run").cast("string").alias("_run")), merge)
 
     def compact_to(self, spark, path, merge=False):
         """Writes the current rows to a fresh folder, as the first batch of a new table."""
         fresh = KeyedTable(path, self.key, self.version)
-        self.read(spark, merge).write.mode("errorifexists").parquet(f"{fresh.path}/_batch=-1")
+        self.read(spark, merge).write.mode("errorifexists").parquet(f"{fresh.path}/_run=base/_batch=-1")
         return fresh
 
-    def sink(self, merge=False):
-        """A function for `foreachBatch`."""
-        return lambda rows, batch_id: self.write(rows, batch_id, merge)
+    def sink(self, checkpoint, merge=False):
+        """A function for `foreachBatch` of the query with this checkpoint."""
+        run = run_of(checkpoint)
+        return lambda rows, batch_id: self.write(rows, batch_id, merge, run)

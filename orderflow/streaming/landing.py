@@ -30,9 +30,10 @@ def land_stream(rows, path, checkpoint, form="parquet", trigger=None, rows_per_f
 
 
 def land(rows, path, form="parquet", rows_per_file=1_000_000):
-    """Batch form. The rebalance hint packs small hours together and cuts a big hour into several tasks."""
-    packed = rows.hint("rebalance", "bucket")
-    packed.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("bucket").format(form).save(path)
+    """Batch form; hours without rows in it stay as they are. The rebalance hint packs small hours together and
+    cuts a big hour into several tasks."""
+    writer = rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("maxRecordsPerFile", rows_per_file).partitionBy("bucket").format(form).save(path)
 
 
 def compact(spark, path, out, form="parquet", buckets=None, rows_per_file=1_000_000):

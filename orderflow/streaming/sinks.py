@@ -16,10 +16,10 @@ def to_kafka(rows, servers, topic, checkpoint, mode="append", trigger=None):
     return writer.option("kafka.bootstrap.servers", servers).option("topic", topic).start()
 
 
-def to_keyed_table(rows, path, key, checkpoint, version=None, mode="append", merge=False, trigger=None):
+def to_keyed_table(rows, path, key, checkpoint, version, mode="append", merge=False, trigger=None):
     """Upserts by key; returns the query and the table."""
     table = KeyedTable(path, key, version)
-    return _writer(rows, checkpoint, mode, trigger).foreachBatch(table.sink(merge)).start(), table
+    return _writer(rows, checkpoint, mode, trigger).foreachBatch(table.sink(checkpoint, merge)).start(), table
 
 
 def to_files(rows, path, checkpoint, form="parquet", trigger=None):

@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from orderflow.operators import patterns
 from orderflow.operators.counted import count_chunks, running_snapshots
+from orderflow.operators.ordered import tie_break
 from orderflow.operators.ranking import TOP_N, RANK_WINDOW_MS, top_n
 
 
@@ -44,7 +45,7 @@ class CountOrTime:
             old.withColumn("_at", start if self.interval_ms else F.lit(-1).cast("bigint"))
         )
         groups = [*self.keys, "_interval"]
-        placed = count_chunks(rows, groups, self.size, ["_at", *self.order], self.interval_ms).persist()
+        placed = count_chunks(rows, groups, self.size, ["_at", *self.order]).persist()
         stats = placed.groupBy(*groups, "chunk").agg(
             F.count(F.lit(1)).alias("_n"), F.min("ct").alias("_first"), F.max("ct").alias("_last"), *self.measures
         )
@@ -63,19 +64,22 @@ class CountTriggered:
     """Running orders, users and totalFee per key and period, reported at every `size` orders.
 
     The input is `with_first_sights(stream, …)`: orders plus one row for each user new to a key and
-    period. Only the running totals of open periods are carried.
+    period. Only the running totals of open periods are carried; rows of a period that has ended are dropped.
+    Give the stream a watermark of `delay_ms`, so that both drop the same rows.
     """
 
     def __init__(self, keys, size, period_ms, offset_ms=0, delay_ms=0, order=("ct", "seq"), user="userID"):
         self.keys, self.size, self.period_ms, self.offset_ms = list(keys), size, period_ms, offset_ms
-        self.delay_ms, self.order, self.user = delay_ms, list(order), user
+        self.delay_ms, self.order, self.user = delay_ms, [*order, "_tie"], user
         self.groups = [*self.keys, "startWindowTime"]
 
     def with_first_sights(self, stream, watermark_column="ts"):
         """Adds a `_sight` row for each user's first row in a key and period; state is spread by user."""
         start = F.floor((F.col("ct") - self.offset_ms) / self.period_ms) * self.period_ms + self.offset_ms
         rows = stream.withColumn("startWindowTime", start)
-        slim = rows.select(*self.groups, self.user, *self.order, F.col("fee").cast("bigint").alias("fee"), watermark_column)
+        fee = F.col("fee").cast("bigint").alias("fee")
+        slim = rows.select(*self.groups, self.user, *self.order[:-1], fee, watermark_column)
+        slim = slim.withColumn("_tie", tie_break(slim))
         first = slim.dropDuplicates([*self.groups, self.user])
         return slim.withColumn("_sight", F.lit(0)).unionByName(first.withColumn("_sight", F.lit(1)))
 
@@ -86,6 +90,8 @@ class CountTriggered:
         ])
 
     def __call__(self, carried, batch, before, now):
+        if before is not None:
+            batch = batch.filter(F.col("startWindowTime") + self.period_ms > F.lit(before - self.delay_ms))
         # a sight row only says that the user is new; its place is the user's first row of the batch
         seen = batch.groupBy(*self.groups, self.user).agg(
             F.min(F.struct(*self.order)).alias("o"), F.max("_sight").alias("_sight")

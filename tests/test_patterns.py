@@ -46,8 +46,8 @@ def test_runs(spark, length, matches, alert_rows):
     assert counts == brute(rows, 3, 5 * MIN)
     assert matches == (length - 1) * (length - 2) // 2
     hits = patterns.repeat_matches(df, F.col("hit"))
-    assert patterns.alerts(hits).count() == alert_rows == sum(counts.values())
-    assert patterns.alerts(hits, repeat=False).count() == len(counts)
+    assert patterns.alerts(hits, repeat=True).count() == alert_rows == sum(counts.values())
+    assert patterns.alerts(hits).count() == len(counts)
 
 
 def test_broken_run(spark):

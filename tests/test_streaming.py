@@ -113,9 +113,9 @@ def test_lateness(spark, tmp_path):
 
 def test_update_mode_refines(spark, tmp_path, rows):
     feed = Feed(spark, tmp_path, thirds(rows))
-    table = KeyedTable(feed.out, "userRegion")
+    table = KeyedTable(feed.out, "userRegion", "orders")
     totals = windows.running_totals(feed.stream().drop("ts"), "userRegion")
-    q = totals.writeStream.foreachBatch(table.sink()).outputMode("update").option("checkpointLocation", feed.log)
+    q = totals.writeStream.foreachBatch(table.sink(feed.log)).outputMode("update").option("checkpointLocation", feed.log)
     q.trigger(**ONCE).start().awaitTermination()
     same(table.read(spark).collect(), windows.running_totals(batch(spark, rows), "userRegion").collect())
 
@@ -141,7 +141,7 @@ def test_count_or_time(spark, tmp_path, rows):
 @pytest.mark.parametrize("size", [1, 7])
 def test_count_trigger(spark, tmp_path, rows, size):
     feed = Feed(spark, tmp_path, thirds(rows, 4))
-    step = CountTriggered(["traffic"], size, 50_000)
+    step = CountTriggered(["traffic"], size, 50_000, delay_ms=3_600_000)
     got = feed.carry(step, step.with_first_sights(feed.stream("1 hour")))
     want = counted.count_triggered_stats(batch(spark, rows), ["traffic"], size, 50_000).select(*got.columns)
     same(got.collect(), want.collect())

@@ -92,12 +92,13 @@ def many(spark):
     return rows, orders(spark, rows)
 
 
-@pytest.mark.parametrize("slice_rows", [10**6, 10])
-def test_running_sums(many, slice_rows):
+@pytest.mark.parametrize("parts", [1, 3])
+def test_running_sums(spark, many, parts):
     rows, df = many
-    got = ordered.running_sums(
-        df, ["traffic"], ["ct", "seq"], {"n": F.lit(1), "fees": F.col("fee")}, 1_000, slice_rows
-    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts * 4)
+    got = ordered.running_sums(df, ["traffic"], ["ct", "seq"], {"n": F.lit(1), "fees": F.col("fee")})
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     want, sums = {}, {}
     for i, (t, _, fee, ct) in sorted(enumerate(rows), key=lambda r: (r[1][3], r[0])):
         n, f = sums.get(t, (0, 0))
@@ -113,6 +114,24 @@ def test_running_sums_keep_null_keys_and_work_without_keys(spark):
     assert sorted((r.ct, r.n) for r in overall) == [(1, 1), (2, 2), (3, 3)]
 
 
+def test_running_sums_keep_rows_without_an_order(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 5, 1), ("a", 6, 1)], "k string, ct long, seq long")
+    got = ordered.running_sums(df, ["k"], ["ct", "seq"], {"n": F.lit(1)}).collect()
+    assert sorted((r.n, r.ct) for r in got) == [(1, None), (2, 5), (3, 6)]
+
+
+@pytest.mark.parametrize("repeat", [1, 40])
+def test_snapshots_of_equal_rows(spark, repeat):
+    """Orders of one millisecond without an arrival number, whole duplicates among them."""
+    rows = [("a", f"u{i % 3}", i % 4, 1_000, 1_000) for i in range(6)] * repeat + [("a", "u9", 1, None, None)]
+    df = spark.createDataFrame(rows, "traffic string, userID string, fee int, ct long, seq long")
+    got = counted.count_triggered_stats(df.filter("ct IS NOT NULL"), ["traffic"], 2, 20_000).collect()
+    assert sorted(r.orders for r in got) == list(range(2, 6 * repeat + 1, 2))
+    last = max(got, key=lambda r: r.orders)
+    assert (last.users, last.totalFee) == (3, repeat * sum(i % 4 for i in range(6)))
+    assert sum(r.orders for r in got if r.orders == 2) == 2
+
+
 @pytest.mark.parametrize("block", [2, 1024])
 def test_running_over_positions(spark, block):
     df = spark.createDataFrame([("a", i, 2) for i in range(9)], "k string, chunk long, v int")
@@ -144,19 +163,17 @@ def snapshots(rows, size, period, tail):
 
 
 @pytest.mark.parametrize("tail", [False, True])
-@pytest.mark.parametrize("slice_rows", [None, 20])
-def test_count_triggered(many, tail, slice_rows):
+def test_count_triggered(many, tail):
     rows, df = many
-    got = counted.count_triggered_stats(df, ["traffic"], 7, 20_000, emit_tail=tail, slice_rows=slice_rows).collect()
+    got = counted.count_triggered_stats(df, ["traffic"], 7, 20_000, emit_tail=tail).collect()
     got = [(r.traffic, r.startWindowTime, r.orders, r.users, r.totalFee) for r in got]
     assert len(got) == len(set(got))
     assert set(got) == snapshots(rows, 7, 20_000, tail)
 
 
-@pytest.mark.parametrize("slice_rows", [None, 20])
-def test_count_or_time(many, slice_rows):
+def test_count_or_time(many):
     rows, df = many
-    got = counted.count_or_time_stats(df, ["traffic"], 10, 20_000, slice_rows=slice_rows).collect()
+    got = counted.count_or_time_stats(df, ["traffic"], 10, 20_000).collect()
     want, open_batches = [], {}
 
     def close(key, end):
