@@ -5,8 +5,9 @@ from pyspark.sql import types as T
 
 from orderflow.functions import arrays, dates, jsons, numbers, text
 from orderflow.plans import base
-from orderflow.plans.base import ORDERS_SQL
+from orderflow.plans.base import ORDERS_SQL, PRODUCTS_SQL
 from orderflow.sources import tables
+from orderflow.sources.dimensions import keyed_snapshot
 
 
 def scalar_dates(spark, folder):
@@ -65,10 +66,29 @@ def scalar_hashes(spark, folder):
         "c_custkey",
         text.md5_hex("c_name").alias("md5Hex"),
         text.digest_hex("c_name", "MD5").alias("md5Upper"),
+        text.digest_hex("c_name", "SHA-1").alias("sha1Upper"),
         text.digest_hex("c_name", "SHA-256", upper=False).alias("sha256Hex"),
     )
 
 
+def scalar_emptiness(spark, folder):
+    """Null, empty and filled arrays and maps."""
+    rows = base.orders(spark, folder)
+    listed = F.when(F.col("seq") % 7 != 0, F.filter(F.array("traffic", "userRegion"), lambda x: F.col("seq") % 5 != 0))
+    mapped = F.map_from_arrays(F.slice(F.array("traffic"), 1, (F.col("seq") % 2).cast("int")), F.slice(F.array("fee"), 1, (F.col("seq") % 2).cast("int")))
+    return rows.select("orderID", arrays.is_empty(listed).alias("noList"), arrays.is_empty(mapped).alias("noMap"))
+
+
+def dimension_snapshot(spark, folder):
+    """The product dimension as key and JSON text, the last row per key, read back field by field."""
+    part = tables.products_from(tables.table(spark, folder, "part"))
+    older = part.withColumn("product_type", F.lit("old")).withColumn("version", F.lit(1))
+    rows = older.unionByName(part.withColumn("version", F.lit(2)))
+    pairs = keyed_snapshot(rows, "product_id", "version")
+    names = ["product_level", "product_type", "departure_code", "des_city_code", "toursim_tickets_type"]
+    return pairs.select("key", *[F.get_json_object("value", f"$.{n}").alias(n) for n in names])
+
+
 NESTED = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("user", T.StructType([
@@ -101,7 +121,8 @@ def json_single_level(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    scalar_dates, scalar_text, scalar_numbers, scalar_hashes, json_flatten, json_single_level,
+    scalar_dates, scalar_text, scalar_numbers, scalar_hashes, scalar_emptiness, dimension_snapshot, json_flatten,
+    json_single_level,
 )}
 
 ORACLE = {
@@ -124,7 +145,12 @@ FROM part""",
   upper(printf('%x', CASE WHEN p_size < 25 THEN 4294967296 + p_size - 25 ELSE p_size - 25 END)) AS "hexedBelow",
   greatest(p_size, 10) AS "atLeastTen"
 FROM part""",
-    "scalar_hashes": """SELECT c_custkey, md5(c_name) AS "md5Hex", upper(md5(c_name)) AS "md5Upper", sha256(c_name) AS "sha256Hex" FROM customer""",
+    "scalar_hashes": """SELECT c_custkey, md5(c_name) AS "md5Hex", upper(md5(c_name)) AS "md5Upper", upper(sha1(c_name)) AS "sha1Upper",
+  sha256(c_name) AS "sha256Hex" FROM customer""",
+    "scalar_emptiness": f"""WITH {ORDERS_SQL} SELECT "orderID", seq % 7 = 0 OR seq % 5 = 0 AS "noList", seq % 2 = 0 AS "noMap" FROM orders_d""",
+    "dimension_snapshot": f"""WITH {PRODUCTS_SQL}
+SELECT "productID" AS key, CAST("productLevel" AS VARCHAR) AS product_level, "productType" AS product_type, "depCode" AS departure_code,
+  "desCode" AS des_city_code, "toursimType" AS toursim_tickets_type FROM products""",
     "json_flatten": f"""WITH {ORDERS_SQL}
 SELECT "orderID", e.key, e.text FROM orders_d, unnest([
   {{'key': 'id', 'text': "orderID"}}, {{'key': 'user_name', 'text': "userID"}}, {{'key': 'home_region', 'text': "userRegion"}},

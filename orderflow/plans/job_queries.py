@@ -2,13 +2,16 @@
 
 from pyspark.sql import functions as F
 
+from orderflow.operators.logs import log_messages
 from orderflow.plans import base, jobs
 from orderflow.plans.base import LOGS_SQL, ORDERS_SQL, PRODUCTS_SQL, WIDE_SQL
 from orderflow.plans.log_queries import NARROW, VIEWS_SQL, _matches_sql
 from orderflow.plans.order_queries import (
     DAY, HOUR, MEASURES_SQL, MWIDE_SQL, PRODUCT_HOURS_SQL, _topn_sql, _window_sql,
 )
+from orderflow.schemas import ORDER_DETAIL, PAGE_VIEW
 from orderflow.sources import tables
+from orderflow.sources.messages import decode
 
 
 def _lines(spark, folder):
@@ -93,9 +96,33 @@ def job_behaviour_alerts(spark, folder):
     return _read(rows, "userId string", "duration string", "ct string")
 
 
+def job_decoded_order_detail(spark, folder):
+    """The keyed messages of the detail job, decoded again with all their fields."""
+    return decode(jobs.order_detail(_lines(spark, folder)), ORDER_DETAIL)
+
+
+def job_decoded_page_views(spark, folder):
+    return decode(jobs.page_view_messages(base.log_lines(spark, folder)), PAGE_VIEW)
+
+
+def job_rejected_orders(spark, folder):
+    """What the order jobs leave out of lines of which some have lost a number."""
+    bad = jobs.rejected_orders(base.order_lines(spark, folder, broken=True))
+    return bad.select(F.get_json_object("value", "$.order_id").alias("orderID"), F.array_join("badFields", ",").alias("badFields"))
+
+
+def job_rejected_page_views(spark, folder):
+    """Page views without a time, which the upsert leaves out."""
+    logs = base.logs(spark, folder)
+    logs = logs.withColumn("ct", F.when(F.col("seq") % 19 != 0, F.col("ct")))
+    found = jobs.rejected_page_views(log_messages(logs))
+    return found.select("sid", F.array_join("problems", ",").alias("problems"))
+
+
 QUERIES = {f.__name__: f for f in (
     job_order_detail, job_order_wide, job_running_totals, job_order_mwide, job_region_stats_pairs,
     job_region_stats_documents, job_count_triggered, job_count_or_time, job_top_products, job_type_stats,
+    job_decoded_order_detail, job_decoded_page_views, job_rejected_orders, job_rejected_page_views,
     job_clicks, job_page_views, job_page_view_messages, job_product_views, job_behaviour_alerts,
 )}
 
@@ -104,6 +131,12 @@ _DAY_STATS = _window_sql(["userRegion", "traffic"], DAY)
 ORACLE = {
     "job_order_detail": f"""WITH {ORDERS_SQL}
 SELECT md5("productID" || traffic) AS key, "orderID", fee, CAST(ct AS VARCHAR) AS ct FROM orders_d""",
+    "job_decoded_order_detail": f"WITH {ORDERS_SQL} SELECT * EXCLUDE (seq) FROM orders_d",
+    "job_decoded_page_views": f"""WITH {VIEWS_SQL} SELECT {NARROW}, "userRegionIP", 'P' || k AS "targetId" FROM views""",
+    "job_rejected_orders": f"""WITH {ORDERS_SQL}
+SELECT "orderID", concat_ws(',', CASE WHEN seq % 97 = 0 THEN 'fee' END, CASE WHEN seq % 89 = 0 THEN 'ct' END) AS "badFields"
+FROM orders_d WHERE seq % 97 = 0 OR seq % 89 = 0""",
+    "job_rejected_page_views": f"""WITH {VIEWS_SQL} SELECT sid, 'ct is zero' AS problems FROM views WHERE event_id % 19 = 0""",
     "job_order_wide": f"""WITH {WIDE_SQL}
 SELECT "orderID" AS id, "productLevel", "depCode", CAST(ct AS VARCHAR) AS ct FROM wide""",
     "job_running_totals": f"""WITH {WIDE_SQL}
