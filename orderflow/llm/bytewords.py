@@ -4,6 +4,8 @@ import numpy as np
 
 SEED = 0x9E3779B97F4A7C15
 FACTOR = 0x5851F42D4C957F2D
+# Bytes of text worked on at once: its arrays of numbers take some hundred times as much.
+SMALL = 500_000
 _MASK = (1 << 64) - 1
 _POWERS = {}
 
@@ -22,7 +24,7 @@ def utf8(column):
     return data, offsets - first
 
 
-def pieces(batch, column, most=2_000_000):
+def pieces(batch, column, most=SMALL):
     """Slices of a batch with about `most` bytes of a string column, one row at least."""
     _, offsets = utf8(batch.column(column))
     at = 0

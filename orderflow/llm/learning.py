@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderflow.llm.bytewords import pieces
+from orderflow.llm.bytewords import SMALL, pieces
 from orderflow.llm.common import filled, remainder_of_id
 
 _SLOTS = 1_000_000
@@ -60,7 +60,7 @@ def scored(docs, score, name, keep, text="text"):
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch, position):
+            for piece in pieces(batch, position, SMALL):
                 values = pa.array(score(piece.column(position)), pa.float64())
                 kept = [piece.column(k) for k in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*kept, values], names=[*keep, name])

@@ -85,7 +85,7 @@ def signed(docs, id="doc_id", text="text", depths=DEPTHS):
 
     def sign(batches):
         for batch in batches:
-            for piece in pieces(batch, 1, 500_000):
+            for piece in pieces(batch, 1):
                 words, first, runs, run_first = shingles(piece.column(1))
                 full = np.flatnonzero(np.diff(first) > 0)
                 prints, keys = [None] * piece.num_rows, {d: [None] * piece.num_rows for d in depths}
@@ -117,7 +117,7 @@ def _sets(batches):
     """Run sets of texts: sorted, each run once."""
     for batch in batches:
         at = batch.schema.get_field_index("text")
-        for piece in pieces(batch, at, 1_000_000):
+        for piece in pieces(batch, at):
             _, _, runs, first = shingles(piece.column(at))
             sets = [np.unique(runs[a:b]).tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
             yield pa.RecordBatch.from_arrays(

@@ -31,7 +31,7 @@ from orderflow.llm.common import BLANKS, filled, written
 
 MAGIC = b"RPG1"
 END_ID = 2
-SHARD_IDS = 2_000_000
+SHARD_IDS = 1_000_000
 LEAST_COUNT = 16
 ROUNDS = 12
 STEP = 256
@@ -218,7 +218,8 @@ class WordEncoder:
     def __init__(self, path, memo=MEMO_WORDS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.memo, self.known = Tokenizer.from_file(path), memo, {}
+        self.tokenizer, self.memo = Tokenizer.from_file(path), memo
+        self._forget()
         self.word = np.ones(256, dtype=bool)
         self.word[[ord(x) for x in BLANKS]] = False
         code = np.arange(256)
@@ -226,18 +227,28 @@ class WordEncoder:
         self.solid, self.sign = letter, self.word & (code < 128) & ~letter & (code != 39)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
+    def _forget(self):
+        """Known words: sorted hashes, and where in `ids` their ids begin and how many there are."""
+        self.keys, self.begins = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
     def _learn(self, words, keys):
         """Encodes new words together, a space apart; a token belongs to the word it starts in."""
+        ids, sizes = [self.ids], []
         for at in range(0, len(words), 2_000):
             part = words[at : at + 2_000]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(found.ids, dtype=np.uint32)
+            ids.append(np.array(found.ids, dtype=np.uint32))
             places = np.array([x[0] for x in found.offsets], dtype=np.int64)
             begins = np.cumsum([0] + [len(w) + 1 for w in part])
-            bounds = np.searchsorted(places, begins).tolist()
-            data = ids.tobytes()
-            for k, key in enumerate(keys[at : at + 2_000]):
-                self.known[key] = data[4 * bounds[k] : 4 * bounds[k + 1]]
+            sizes.append(np.diff(np.searchsorted(places, begins)))
+        sizes = np.concatenate(sizes)
+        begins = len(self.ids) + np.cumsum(sizes) - sizes
+        keys = np.concatenate((self.keys, keys))
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.ids = keys[order], np.concatenate(ids)
+        self.begins = np.concatenate((self.begins, begins))[order]
+        self.sizes = np.concatenate((self.sizes, sizes))[order]
 
     def encode(self, column):
         """The ids of all texts of an Arrow string column in one array, and where each text begins."""
@@ -251,19 +262,18 @@ class WordEncoder:
             data, cuts = lower, (self.solid, self.sign)
         starts, ends, first = spans(data, offsets, self.word, cuts)
         keys, sample, which = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) > self.memo:
-            self.known.clear()
-        known, keys = self.known, keys.tolist()
-        new = [k for k, key in enumerate(keys) if key not in known]
-        spots = sample[new]
-        words = [text[a:b].decode() for a, b in zip(starts[spots].tolist(), ends[spots].tolist())]
-        self._learn(words, [keys[k] for k in new])
-        found = [known[key] for key in keys]
-        sizes = np.array([len(x) // 4 for x in found], dtype=np.int64)
-        flat = np.frombuffer(b"".join(found), dtype=np.uint32)
-        begins = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else sizes
-        ids, at = gather(flat, begins[which], sizes[which])
-        return ids, at[first]
+        if len(self.keys) > self.memo:
+            self._forget()
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        new = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(len(keys))
+        if len(new):
+            spots = sample[new]
+            words = [text[a:b].decode() for a, b in zip(starts[spots].tolist(), ends[spots].tolist())]
+            self._learn(words, keys[new])
+            at = np.searchsorted(self.keys, keys)
+        at = at[which]
+        ids, begins = gather(self.ids, self.begins[at], self.sizes[at])
+        return ids, begins[first]
 
 
 _ENCODERS = {}
@@ -294,7 +304,7 @@ def encoded(docs, tokenizer, id="doc_id", text="text", end_id=END_ID, shard_ids=
             )
 
         for batch in batches:
-            for piece in pieces(batch, 1):
+            for piece in pieces(batch, 1, 1_000_000):
                 ids, bounds = coder.encode(piece.column(1))
                 for k, doc in enumerate(piece.column(0).to_pylist()):
                     docs_now.append(doc)

@@ -130,7 +130,7 @@ def _key_of(words):
 def _counts(batches):
     """Texts of each label that hold a word or beginning: part sums."""
     for batch in batches:
-        for piece in pieces(batch, 0, 8_000_000):
+        for piece in pieces(batch, 0, 2_000_000):
             *_, first, keys = _words(piece.column(0))
             toxic = np.array(piece.column(1).to_pylist(), dtype=bool)
             rows = [np.unique(keys[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
