@@ -9,12 +9,12 @@ from orderflow.sources.dimensions import last_per_key
 BROADCAST_ROWS = 500_000
 
 
-def lookup(facts, dim, key, defaults, version=None, broadcast_rows=BROADCAST_ROWS, salts=32):
+def lookup(facts, dim, key, defaults, version=None, broadcast_rows=BROADCAST_ROWS):
     """Left join of `facts` with one dimension row per key; unmatched rows take `defaults`.
 
     The dimension is broadcast only after a bounded count shows it has at most `broadcast_rows`
-    rows. A larger one is shuffled with each of its rows repeated over `salts` sub-keys, so a key
-    that holds a large share of the facts is joined by that many tasks.
+    rows. A larger one is shuffled; adaptive execution cuts the facts of a key that holds a large share of
+    them into several tasks.
     """
     columns = list(defaults)
     one = last_per_key(dim.select(key, *columns, *([version] if version else [])), key, version)
@@ -22,9 +22,7 @@ def lookup(facts, dim, key, defaults, version=None, broadcast_rows=BROADCAST_ROW
     if dim.select(key).limit(broadcast_rows + 1).count() <= broadcast_rows:
         joined = facts.join(F.broadcast(one), key, "left")
     else:
-        spread = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
-        joined = salted.join(spread, [key, "_salt"], "left")
+        joined = facts.join(one.hint("merge"), key, "left")
     filled = {
         c: F.when(F.col("_found"), F.col(c)).otherwise(F.lit(d).cast(dim.schema[c].dataType))
         for c, d in defaults.items()

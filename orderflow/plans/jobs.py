@@ -87,9 +87,10 @@ def region_stats_documents(lines, size=windows.WINDOW):
 
 def hourly_stats_by_day(lines, approx=False):
     """Statistics per traffic and hour inside UTC+8 days as documents; append mode on a stream. With `approx`
-    users are estimated, which allows update mode on a one-minute trigger."""
+    users are estimated, which allows update mode on a one-minute trigger. `version` grows with the orders."""
     stats = windows.hourly_day_stats(with_hour(_orders(lines)), processed_at=F.current_timestamp(), approx=approx)
-    return messages.documents(stats, "hourly_stats", longs_as_text=True)
+    rows = messages.documents(stats, "hourly_stats", longs_as_text=True)
+    return rows.withColumn("version", F.get_json_object("value", "$.orders").cast("bigint"))
 
 
 def count_triggered_stats(lines, size=TRIGGER_COUNT, period_ms=TRIGGER_PERIOD_MS):

@@ -59,4 +59,13 @@ class Carry:
             self(spark.createDataFrame([], self.columns), self.last + 1, END_OF_TIME)
 
     def results(self, spark):
-        return spark.read.parquet(f"{self.folder}/run={self.run}/results").drop("_batch")
+        return _results(spark, self.folder, self.run)
+
+
+def results_of(spark, folder, checkpoint):
+    """What the query with this checkpoint has written to a folder."""
+    return _results(spark, folder.rstrip("/"), run_of(checkpoint))
+
+
+def _results(spark, folder, run):
+    return spark.read.parquet(f"{folder}/run={run}/results").drop("_batch")

@@ -241,3 +241,60 @@ def test_clock_batches(spark, tmp_path):
     assert sum(by_key["a"]) == 12 and by_key["a"][0] == 5 and sum(by_key["b"]) == 2
     assert all(1 <= r.users <= 3 for r in got)
     assert all(r.endWindowTime % 6_000 == 0 for r in got if r.orders < 5)
+
+
+def test_runs_are_kept_apart(spark, tmp_path):
+    """A query with another checkpoint over the same folder takes nothing away."""
+
+    def docs(*rows):
+        return spark.createDataFrame(list(rows), "id string, a int, v int")
+
+    table = KeyedTable(str(tmp_path / "t"), "id", "v")
+    table.sink("/log/one")(docs(("x", 1, 1), ("y", 1, 1)), 0)
+    table.sink("/log/two")(docs(("x", 2, 2)), 0)
+    assert {r.id: r.a for r in table.read(spark).collect()} == {"x": 2, "y": 1}
+    table.sink("/log/two")(docs(("y", 0, 0)), 5)
+    assert {r.id: r.a for r in table.read(spark).collect()} == {"x": 2, "y": 1}
+    with pytest.raises(ValueError):
+        KeyedTable(str(tmp_path / "t"), "id", [])
+
+
+def test_newest_row_of_a_key_by_version(spark, tmp_path):
+    rows = spark.createDataFrame([("s", "zz", 1), ("s", "aa", 2)], "sid string, userDevice string, ct int")
+    table = KeyedTable(str(tmp_path / "t"), "sid", "ct")
+    table.write(rows, 0)
+    assert table.read(spark).first()["userDevice"] == "aa"
+
+
+def test_compaction_keeps_other_hours(spark, tmp_path):
+    h = 3_600_000
+    rows = [("a", "u", 1, ct, i, "R", "P", "1", "0", "") for i, ct in enumerate([h - 1, h, 5 * h])]
+    landing.land(landing.with_bucket(batch(spark, rows), "ts").drop("ts"), str(tmp_path / "raw"))
+    for hour in ("1970010100", "1970010101", "1970010105", "1970010101"):
+        landing.compact(spark, str(tmp_path / "raw"), str(tmp_path / "packed"), buckets=[hour])
+    got = spark.read.parquet(str(tmp_path / "packed"))
+    assert sorted(r.seq for r in got.collect()) == [0, 1, 2]
+
+
+def test_late_rows_do_not_count_again(spark, tmp_path):
+    def row(user, ct, seq):
+        return ("a", user, 1, ct, seq, "R", "P", "1", "0", "")
+
+    step = CountTriggered(["traffic"], 2, 10_000, delay_ms=1_000)
+    parts = [[row("u", 1_000, 0), row("v", 2_000, 1)], [row("u", 30_000, 2)], [row("w", 3_000, 3), row("x", 3_500, 4)]]
+    feed = Feed(spark, tmp_path, parts)
+    got = feed.carry(step, step.with_first_sights(feed.stream("1 second"))).collect()
+    assert [(r.startWindowTime, r.orders, r.users) for r in got] == [(0, 2, 2)]
+
+
+def test_drain_closes_what_is_open(spark, tmp_path, rows):
+    measures = [F.count(F.lit(1)).alias("orders")]
+    feed = Feed(spark, tmp_path, thirds(rows, 4))
+    stream = feed.stream()
+    step = CountOrTime(["traffic"], measures, 10, 20_000)
+    carry = Carry(step, feed.out, step.carried_schema(stream))
+    carry.start(stream, feed.log, ONCE).awaitTermination()
+    carry.drain(spark)
+    got = carry.results(spark)
+    want = counted.count_or_time_stats(batch(spark, rows), ["traffic"], 10, 20_000).select(*got.columns)
+    same(got.collect(), want.collect())
