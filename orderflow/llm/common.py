@@ -1,5 +1,8 @@
 """What several operators of this subpackage share."""
 
+import os
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from orderflow.session import new_folder
@@ -9,7 +12,17 @@ BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def tell_workers(spark):
+    """Tells Python workers where this package is. That serves sessions started from another folder; to a
+    cluster whose machines do not have it there, ship it with --py-files."""
+    root, known = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark, folder, name):
+    tell_workers(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
