@@ -1,5 +1,7 @@
 """JSON expressions."""
 
+import re
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +39,30 @@ def _array_entries(array, element, name):
     return F.transform(array, lambda x, i: F.struct(key(i).alias("key"), x.cast("string").alias("value")))
 
 
+def _key_patterns(schema, parent=None):
+    """The keys of a struct, "#" standing for an index."""
+    found = []
+    for field in schema.fields:
+        kind = field.dataType
+        if isinstance(kind, T.StructType):
+            found += _key_patterns(kind, field.name)
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+            found += _key_patterns(kind.elementType, f"{field.name}_#")
+        elif isinstance(kind, T.ArrayType):
+            found.append(f"{field.name}_#")
+        else:
+            found.append(field.name if parent is None else f"{parent}_{field.name}")
+    return found
+
+
+def keys_may_repeat(schema):
+    """Whether two entries of a value can have one key."""
+    patterns = _key_patterns(schema)
+    shapes = [re.compile(re.escape(p).replace(r"\#", r"\d+")) for p in patterns]
+    samples = [p.replace("#", "0") for p in patterns]
+    return any(i != k and shapes[i].fullmatch(samples[k]) for i in range(len(patterns)) for k in range(len(patterns)))
+
+
 def _last_of_key(entries):
     """Of entries with one key the last."""
     keys = F.reverse(F.transform(entries, lambda e: e["key"]))
@@ -46,7 +72,7 @@ def _last_of_key(entries):
 def _flat(value, schema):
     # bound as lambda arguments, so each is worked out once however often it is used
     bound = F.transform(F.array(value), lambda v: F.filter(_entries(v, schema, None), lambda e: e["value"].isNotNull()))
-    return F.transform(bound, _last_of_key)[0]
+    return (F.transform(bound, _last_of_key) if keys_may_repeat(schema) else bound)[0]
 
 
 def flat_entries(value, schema):

@@ -43,14 +43,16 @@ def _finish(query):
 
 
 class _Closing:
-    """A stream of events that can be closed: once the events are done, a row far in the future moves the
-    watermark past every window, so that append-mode statistics give out all they hold. The row's own
-    window stays open."""
+    """A bounded stream of events that is closed: a row far in the future, in a micro-batch after the
+    `batches` of the events, moves the watermark past every window, so that append-mode statistics give out
+    all they hold. The row's own window stays open."""
 
-    def __init__(self, spark, events):
+    def __init__(self, spark, events, batches=1):
         self.spark, self.path = spark, new_folder(spark, "closing")
-        self._add([])
-        end = spark.readStream.schema(tables.EVENTS_SCHEMA).parquet(self.path)
+        for _ in range(batches):
+            self._add([])
+        self._add([(None, datetime.datetime(2200, 1, 1), None, None, None, None)])
+        end = spark.readStream.schema(tables.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(self.path)
         self.events = events.unionByName(end)
 
     def _add(self, rows):
@@ -59,18 +61,12 @@ class _Closing:
     def orders(self, late="10 minutes"):
         return with_event_time(tables.orders_from(self.events), late=late)
 
-    def run(self, start):
-        """`start` starts the query; it is run to the end of the events, and again past the closing row."""
-        _finish(start())
-        self._add([(None, datetime.datetime(2200, 1, 1), None, None, None, None)])
-        _finish(start())
-
 
-def _appended(spark, closing, rows, name):
-    """Runs an append-mode stream into parquet, closes it and reads the files back."""
+def _appended(spark, rows, name):
+    """Runs an append-mode stream into parquet and reads the files back."""
     out = new_folder(spark, name)
     writer = rows.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/log")
-    closing.run(lambda: writer.outputMode("append").trigger(**ONCE).start())
+    _finish(writer.outputMode("append").trigger(**ONCE).start())
     return spark.read.schema(rows.schema).parquet(f"{out}/data")
 
 
@@ -87,30 +83,30 @@ def _best_products(spark, closing):
     step = TopN(period_ms=3 * HOUR, rank_within=())
     out = new_folder(spark, "topn")
     carry = Carry(step, out, step.carried_schema(stats), ct="endWindowTime")
-    closing.run(lambda: carry.start(stats, f"{out}/log", ONCE))
+    _finish(carry.start(stats, f"{out}/log", ONCE))
     carry.drain(spark)
     return carry.results(spark)
 
 
 def stream_agg_region_traffic(spark, folder):
     closing = _Closing(spark, _events(spark, folder))
-    return _appended(spark, closing, windows.region_traffic_stats(closing.orders(), "1 hour"), "region")
+    return _appended(spark, windows.region_traffic_stats(closing.orders(), "1 hour"), "region")
 
 
 def stream_session_traffic(spark, folder):
     closing = _Closing(spark, _events(spark, folder))
-    return _appended(spark, closing, windows.session_stats(closing.orders(), ["traffic"], "15 minutes"), "sessions")
+    return _appended(spark, windows.session_stats(closing.orders(), ["traffic"], "15 minutes"), "sessions")
 
 
 def stream_day_utc8(spark, folder):
     closing = _Closing(spark, _events(spark, folder))
-    return _appended(spark, closing, windows.hourly_day_stats(with_hour(closing.orders())), "days")
+    return _appended(spark, windows.hourly_day_stats(with_hour(closing.orders())), "days")
 
 
 def stream_wide_type_window(spark, folder):
     closing = _Closing(spark, _events(spark, folder))
     wide = lookup.widen_orders(closing.orders(), base.products(spark, folder))
-    return _appended(spark, closing, windows.type_stats(wide, "1 hour"), "types")
+    return _appended(spark, windows.type_stats(wide, "1 hour"), "types")
 
 
 def stream_topn(spark, folder):
@@ -148,8 +144,8 @@ def _in_parts(spark, folder):
 
 def late_region_windows(spark, folder):
     """Rows of windows that are already given out are dropped, rows of open ones are counted."""
-    closing = _Closing(spark, _in_parts(spark, folder))
-    return _appended(spark, closing, windows.region_traffic_stats(closing.orders("2 days"), "1 hour"), "late-region")
+    closing = _Closing(spark, _in_parts(spark, folder), batches=4)
+    return _appended(spark, windows.region_traffic_stats(closing.orders("2 days"), "1 hour"), "late-region")
 
 
 def late_count_or_time(spark, folder):
@@ -242,7 +238,7 @@ def stream_kv_latest(spark, folder):
     out = new_folder(spark, "kv")
     table = KeyedTable(f"{out}/table", "key", "endWindowTime")
     writer = pairs.writeStream.foreachBatch(table.sink(f"{out}/log")).outputMode("append")
-    closing.run(lambda: writer.option("checkpointLocation", f"{out}/log").trigger(**ONCE).start())
+    _finish(writer.option("checkpointLocation", f"{out}/log").trigger(**ONCE).start())
     latest = table.read(spark)
     return latest.select("key", F.get_json_object("value", "$.orders").cast("bigint").alias("orders"), "endWindowTime")
 

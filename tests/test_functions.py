@@ -121,3 +121,14 @@ def test_flat_json(spark):
     assert one(spark, jsons.flat_json("t", schema), t=s('{"z":"only"}')) == {"z": "only"}
     assert one(spark, jsons.text_map("t"), t=s('{"a":1,"b":{"c":2}}')) == {"a": "1", "b": '{"c":2}'}
     assert one(spark, jsons.text_list("t"), t=s('["P1","P2"]')) == ["P1", "P2"]
+
+
+def test_flattened_keys_that_repeat_keep_the_last(spark):
+    from orderflow.functions import jsons
+
+    schema = "a_b string, a struct<b: string>, c array<string>, c_1 string"
+    kind = spark.createDataFrame([], schema).schema
+    assert jsons.keys_may_repeat(kind)
+    assert not jsons.keys_may_repeat(spark.createDataFrame([], "a struct<b: string>, c array<struct<d: int>>").schema)
+    df = spark.createDataFrame([('{"a_b":"1","a":{"b":"2"},"c":["x","y"],"c_1":"z"}',)], "v string")
+    assert df.select(jsons.flat_json("v", kind)).first()[0] == {"a_b": "2", "c_0": "x", "c_1": "z"}
