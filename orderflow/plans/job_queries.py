@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 
 from orderflow.operators.logs import log_messages
 from orderflow.plans import base, jobs
-from orderflow.plans.base import LOGS_SQL, ORDERS_SQL, PRODUCTS_SQL, WIDE_SQL
+from orderflow.plans.base import LOGS_SQL, ORDERS_SQL, WIDE_SQL
 from orderflow.plans.log_queries import NARROW, VIEWS_SQL, _matches_sql
 from orderflow.plans.order_queries import (
-    DAY, HOUR, MEASURES_SQL, MWIDE_SQL, PRODUCT_HOURS_SQL, _topn_sql, _window_sql,
+    DAY, HOUR, MWIDE_SQL, _topn_sql, _window_sql,
 )
 from orderflow.schemas import ORDER_DETAIL, PAGE_VIEW
 from orderflow.sources import tables

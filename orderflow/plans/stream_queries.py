@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from orderflow.operators import logs as log_ops
-from orderflow.operators import lookup, messages, patterns, windows
+from orderflow.operators import lookup, messages, windows
 from orderflow.operators.orders import with_event_time, with_hour
 from orderflow.plans import base
 from orderflow.plans.base import LOGS_SQL, ORDERS_SQL, WIDE_SQL
