@@ -4,9 +4,9 @@ Words are runs of letters, digits and characters beyond ASCII, A-Z in lower case
 runs of five words (a text of fewer words has one run with all of them). Two texts are linked when the
 Jaccard similarity of their sets is 0.8 or more; texts with equal words are copies and linked.
 
-Each of the trees sorts the texts by a sequence of MinHash values. Texts with a common prefix of the first
-depth are candidates; links are verified exactly, and their similarities tell how many links such prefixes
-miss. While that leaves the recall under its target, the prefixes are shortened and the search repeated.
+Each of the trees sorts the texts by a sequence of MinHash values. Texts with a common prefix are candidates,
+and links are verified exactly. Prefixes are so short that a pair just at the threshold meets with the target
+chance, more similar ones with a greater: that holds for each pair, whatever else is in the table.
 
 Copies are folded into one representative (the least id) before anything is compared. Candidates form
 groups (components of the prefix buckets); a group is cut into blocks, and a task compares two blocks, so
@@ -29,8 +29,8 @@ from orderflow.llm.components import components
 RUN = 5
 SIMILARITY = 0.8
 TREES = 20
-DEPTHS = (8, 7, 6)
-TARGET = 0.99
+DEPTHS = (8, 7, 6, 5, 4, 3, 2, 1)
+TARGET = 0.995
 BLOCK = 128
 SHIFT = np.uint64(11400714819323198485)
 
@@ -50,6 +50,11 @@ def chance(similarity, depth, trees=TREES):
     return 1 - (1 - similarity**depth) ** trees
 
 
+def fitting(similarity=SIMILARITY, depths=DEPTHS, target=TARGET):
+    """The greatest depth at which a pair of just this similarity meets with the target chance, else the least."""
+    return next((d for d in sorted(depths, reverse=True) if chance(similarity, d) >= target), min(depths))
+
+
 def shingles(column):
     """Word hashes and first word of each row; run hashes and first run of each row."""
     data, offsets = utf8(column)
@@ -68,46 +73,41 @@ def shingles(column):
     return words, first, mixed(runs[keep]), before[first]
 
 
-def _forest(runs, first, depths):
-    """For each depth the keys of all trees of the rows, which have a run each."""
-    least = [np.minimum.reduceat((runs ^ f) * a, first[:-1]) for f, a in zip(_FLIPS, _FACTORS)]
-    least = np.stack(least, axis=1).reshape(len(first) - 1, TREES, max(DEPTHS))
-    keys, out = np.broadcast_to(mixed(np.arange(TREES, dtype=np.uint64) * SHIFT), least.shape[:2]), {}
-    for depth in range(1, max(depths) + 1):
-        keys = mixed(keys + least[:, :, depth - 1] * SHIFT)
-        if depth in depths:
-            out[depth] = keys.view(np.int64)
-    return out
+def _forest(runs, first, depth):
+    """The keys of all trees of the rows, which have a run each."""
+    least = [np.minimum.reduceat((runs ^ f) * a, first[:-1]) for f, a in zip(_FLIPS[: TREES * depth], _FACTORS)]
+    least = np.stack(least, axis=1).reshape(len(first) - 1, TREES, depth)
+    keys = np.broadcast_to(mixed(np.arange(TREES, dtype=np.uint64) * SHIFT), least.shape[:2])
+    for k in range(depth):
+        keys = mixed(keys + least[:, :, k] * SHIFT)
+    return keys.view(np.int64)
 
 
-def signed(docs, id="doc_id", text="text", depths=DEPTHS):
-    """Per row its id, the fingerprint of its words, and the keys of the trees at each depth."""
+def signed(docs, depth, id="doc_id", text="text"):
+    """Per row its id, the fingerprint of its words, and the keys of the trees."""
 
     def sign(batches):
         for batch in batches:
             for piece in pieces(batch, 1):
                 words, first, runs, run_first = shingles(piece.column(1))
                 full = np.flatnonzero(np.diff(first) > 0)
-                prints, keys = [None] * piece.num_rows, {d: [None] * piece.num_rows for d in depths}
+                prints, keys = [None] * piece.num_rows, [None] * piece.num_rows
                 if len(full):
-                    found = _forest(runs, np.append(run_first[full], run_first[-1]), depths)
+                    found = _forest(runs, np.append(run_first[full], run_first[-1]), depth)
                     for n, k in enumerate(full.tolist()):
                         part = words[first[k] : first[k + 1]].tobytes()
                         prints[k] = hashlib.blake2b(part, digest_size=16).digest()
-                        for d in depths:
-                            keys[d][k] = found[d][n]
+                        keys[k] = found[n]
                 columns = {"doc_id": piece.column(0), "print": pa.array(prints, pa.binary())}
-                columns |= {f"keys_{d}": pa.array(keys[d], pa.list_(pa.int64())) for d in depths}
-                yield pa.RecordBatch.from_pydict(columns)
+                yield pa.RecordBatch.from_pydict(columns | {"keys": pa.array(keys, pa.list_(pa.int64()))})
 
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), filled(text).alias("text"))
-    kinds = "".join(f", keys_{d} array<long>" for d in depths)
-    return rows.mapInArrow(sign, "doc_id long, print binary" + kinds)
+    return rows.mapInArrow(sign, "doc_id long, print binary, keys array<long>")
 
 
-def grouped(representatives, depth):
+def grouped(representatives):
     """Representatives that share a prefix, directly or over others: `node` and `component`."""
-    keyed = representatives.select("rep", F.explode(f"keys_{depth}").alias("key"))
+    keyed = representatives.select("rep", F.explode("keys").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("rep").alias("root"), F.count("rep").alias("n")).where("n > 1")
     edges = keyed.join(buckets.select("key", "root"), "key").select(F.col("rep").alias("a"), F.col("root").alias("b"))
     return components(edges)
@@ -146,8 +146,8 @@ def _common(sets):
     return total
 
 
-def _compared(nodes, blocks, copies, sets, cross, similarity, depth):
-    """Links inside one block, or across two: (node, links with copies, least node reached, found, expected)."""
+def _compared(nodes, blocks, copies, sets, cross, similarity):
+    """Links inside one block, or across two: (node, links with copies, least node reached)."""
     common = _common(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.float64)
     union = sizes[:, None] + sizes[None, :] - common
@@ -163,13 +163,12 @@ def _compared(nodes, blocks, copies, sets, cross, similarity, depth):
         if (lower == roots).all():
             break
         roots = lower
-    expected = np.where(linked, 1 / chance(np.clip(alike, similarity, 1), depth), 0).sum(axis=1)
-    return nodes, linked @ copies, roots, linked.sum(axis=1), expected
+    return nodes, linked @ copies, roots
 
 
-def _verifier(similarity, depth):
+def _verifier(similarity):
     def verify(batches):
-        names = ["node", "links", "root", "found", "expected"]
+        names = ["node", "links", "root"]
         held, held_key = [], None
 
         def flush():
@@ -179,7 +178,7 @@ def _verifier(similarity, depth):
             copies = np.array([r["copies"] for r in unique], dtype=np.int64)
             sets = [np.frombuffer(r["runs"], dtype=np.uint64) for r in unique]
             cross = held_key[1] != held_key[2]
-            return _compared(nodes, blocks, copies, sets, cross, similarity, depth)
+            return _compared(nodes, blocks, copies, sets, cross, similarity)
 
         ready = []
         for batch in batches:
@@ -201,7 +200,7 @@ def _verifier(similarity, depth):
     return verify
 
 
-def verified(docs, members, depth, similarity=SIMILARITY, block=BLOCK):
+def verified(docs, members, similarity=SIMILARITY, block=BLOCK):
     """Links of the members (component, node, copies): one row per node and pair of blocks it is in."""
     sizes = members.groupBy("component").agg(F.ceil(F.count("node") / block).cast("long").alias("blocks"))
     members = members.join(sizes, "component")
@@ -218,27 +217,21 @@ def verified(docs, members, depth, similarity=SIMILARITY, block=BLOCK):
     )
     # ranges deal the pairs of blocks out evenly; a pair of blocks is never split
     pairs = pairs.repartitionByRange("component", "low", "high").sortWithinPartitions("component", "low", "high", "node")
-    kinds = "node long, links long, root long, found long, expected double"
-    return written(pairs.mapInArrow(_verifier(similarity, depth), kinds), "links")
+    return written(pairs.mapInArrow(_verifier(similarity), "node long, links long, root long"), "links")
 
 
 def near_duplicates(docs, id="doc_id", text="text", similarity=SIMILARITY, depths=DEPTHS, target=TARGET, block=BLOCK):
     """Per row: doc_id, class_id (the least id linked to it, directly or over others) and n_links (rows
     linked to it, copies included)."""
-    rows = written(signed(docs, id, text, depths), "signed")
+    rows = written(signed(docs, fitting(similarity, depths, target), id, text), "signed")
     whole = rows.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull())
-    keys = [f"keys_{d}" for d in depths]
     representatives = written(whole.groupBy("print").agg(
-        F.min("doc_id").alias("rep"), F.count("doc_id").alias("copies"), *[F.first(k).alias(k) for k in keys]
+        F.min("doc_id").alias("rep"), F.count("doc_id").alias("copies"), F.first("keys").alias("keys")
     ), "representatives")
     copies = representatives.select(F.col("rep").alias("node"), "copies")
     texts = docs.select(F.col(id).cast("bigint").alias("doc_id"), filled(text).alias("text"))
-    for depth in depths:
-        members = grouped(representatives, depth).join(copies, "node")
-        links = verified(texts, members, depth, similarity, block)
-        seen = links.agg(F.sum("found").alias("found"), F.sum("expected").alias("expected")).first()
-        if (seen["found"] or 0) >= target * (seen["expected"] or 0):
-            break
+    members = grouped(representatives).join(copies, "node")
+    links = verified(texts, members, similarity, block)
     classes = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
     folded = representatives.select("print", "rep", "copies")
