@@ -3,12 +3,13 @@
 A document may belong to several sources. Documents with the same membership form a pattern; what a pattern
 holds in words flows to the quotas of its sources. The first copy of a word costs nothing and each further
 copy one more than the last, so repeats come only where quotas ask for them. A pattern's flow is then filled
-with documents in a seeded order: whole copies of all, and for the rest the documents that come first,
-topped up with those that come nearest to what is missing.
-A source of a few long documents may be topped up with second copies.
+with documents in a seeded order: whole copies of all, and for the rest the documents that come first. Past
+a document that is too long the order goes on with those that are no longer than what is missing, until none
+fits; then with second copies, where the mix allows them; last, one that ends nearer to the flow is added.
 
-Only sums per pattern reach the driver (at most MOST_PATTERNS rows; more is an error). Documents are placed
-in the seeded order over hash bins, so a source with most of the rows is spread over many tasks.
+Only sums per pattern reach the driver. Sources that no document shares with another are filled directly; of
+the others at most MOST_PATTERNS memberships enter the flow (more is an error). Documents are placed in the
+seeded order over hash bins, so a source with most of the rows is spread over many tasks.
 
 Defined results: a null text has no words and a null source is a source, the last; without documents there
 are no rows; a document of no source is never taken; repeated rows each count; ties in the order are between
@@ -29,8 +30,6 @@ MOST_COPIES = 2
 SEED = 17
 BIN_BITS = 12
 MOST_PATTERNS = 10_000
-TOP_UPS = 8
-NEAR = 0.0005
 
 
 def quotas(sizes, share=SHARE, most=MOST_COPIES, weights=WEIGHTS):
@@ -107,6 +106,17 @@ def routed(capacity, wanted, most=MOST_COPIES):
     return out
 
 
+def directed(capacity, wanted, most=MOST_COPIES):
+    """As `routed`; sources that share no document with another take what they need without a search."""
+    joint = {s for p in capacity if len(p) > 1 for s in p}
+    apart = {p for p in capacity if len(p) == 1 and p[0] not in joint}
+    flow = {(p, p[0]): n for p in apart if (n := min(wanted[p[0]], most * capacity[p])) > 0}
+    rest = {p: n for p, n in capacity.items() if p and p not in apart}
+    if len(rest) > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} overlapping memberships")
+    return flow | routed(rest, {s: n for s, n in wanted.items() if s in joint}, most)
+
+
 def _marked(docs, sources, id, text, keep, seed):
     """Rows with their pattern, size and place in the seeded order; `keep` as the struct `_row`."""
     size = F.size(blank_words(filled(text))).cast("bigint")
@@ -135,10 +145,13 @@ class Mix:
         rows = _marked(docs, sources, id, text, [], seed).drop("_row")
         # one row per pattern and bin
         bins = written(rows.groupBy("_pattern", "_bin").agg(F.sum("_size").alias("_words")), "bins")
-        sums = bins.groupBy("_pattern").agg(F.sum("_words").alias("words")).limit(MOST_PATTERNS + 1).collect()
-        if len(sums) > MOST_PATTERNS:
-            raise ValueError(f"more than {MOST_PATTERNS} different memberships")
-        self.words = {r["_pattern"]: r["words"] for r in sums}
+        sums = bins.groupBy("_pattern").agg(F.sum("_words").alias("words"))
+        several = F.size(F.from_json("_pattern", "array<string>")) > 1
+        shared = sums.where(several).limit(MOST_PATTERNS + 1).collect()
+        if len(shared) > MOST_PATTERNS:
+            raise ValueError(f"more than {MOST_PATTERNS} overlapping memberships")
+        shared += sums.where(~F.coalesce(several, F.lit(False))).collect()  # a row per source
+        self.words = {r["_pattern"]: r["words"] for r in shared}
         members = {p: tuple(json.loads(p)) if p is not None else () for p in self.words}
         self.sizes = {}
         for p, names in members.items():
@@ -146,52 +159,74 @@ class Mix:
                 self.sizes[s] = self.sizes.get(s, 0) + self.words[p]
         self.targets = quotas(self.sizes, share, most, weights)
         # patterns that differ only in how they were written share a tuple
-        flow = routed({members[p]: n for p, n in self.words.items()}, {s: round(t) for s, t in self.targets.items()}, most)
+        flow = directed({members[p]: n for p, n in self.words.items()}, {s: round(t) for s, t in self.targets.items()}, most)
         self.members, self.flow = members, flow
         self.total = {p: sum(flow.get((members[p], s), 0) for s in members[p]) for p in members}
         earlier = W.partitionBy("_pattern").orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
         self.bins = bins.select("_pattern", "_bin", F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_start"))
         self.full = {p: (self.total[p] // n if n else 0) for p, n in self.words.items()}
         self.rest = {p: self.total[p] - self.full[p] * n for p, n in self.words.items()}
-        self.extra = {p: [] for p in self.words}
+        self.rounds = {p: [] for p in self.words}
         if any(self.rest.values()):
-            self._top_up(written(_placed(rows, self.bins).select("_pattern", "_size", "_at"), "placed"))
+            self._top_up(written(_placed(rows, self.bins).select("_pattern", "_bin", "_size", "_at"), "placed"))
+
+    def _small(self, rows, kinds):
+        """A table with a row per pattern."""
+        rows = self.spark.createDataFrame(rows, kinds)
+        return F.broadcast(rows) if len(self.words) <= MOST_PATTERNS else rows
 
     def _plan(self):
-        rows = [(p, self.full[p], self.rest[p], self.extra[p]) for p in self.words]
-        kinds = "_pattern string, _full long, _rest long, _extra array<long>"
-        return F.broadcast(self.spark.createDataFrame(rows, kinds))  # a row per pattern
+        rows = [(p, self.full[p], self.rest[p], self.rounds[p]) for p in self.words]
+        kinds = "_pattern string, _full long, _rest long, _rounds array<struct<start:long,stop:long,size:long,copies:int>>"
+        return self._small(rows, kinds)
 
     def _copies(self):
-        """Of a placed row: whole copies of the pattern, one more for the first rows, and top-ups."""
+        """Of a placed row: whole copies of the pattern, one more for the first rows, and those of the rounds."""
         first = (F.col("_rest") > 0) & (F.col("_at") + F.col("_size") <= F.col("_rest"))
-        added = F.when(F.col("_size") > 0, F.size(F.filter("_extra", lambda x: x == F.col("_at")))).otherwise(0)
-        return F.least(F.col("_full") + F.when(first, 1).otherwise(0) + added, F.lit(self.most)).cast("int")
+        taken = F.least(F.col("_full") + F.when(first, 1).otherwise(0), F.lit(self.most)).cast("int")
+
+        def again(copies, x):
+            fits = F.col("_at").between(x["start"], x["stop"]) & F.col("_size").between(1, x["size"])
+            return copies + F.when(fits & (copies == x["copies"]), 1).otherwise(0)
+
+        return F.aggregate("_rounds", taken, again)
 
     def _top_up(self, placed):
-        """Adds documents to the rest of each pattern, one a turn, while that comes nearer to its flow."""
-        for _ in range(TOP_UPS):
-            known = placed.join(self._plan(), "_pattern").withColumn("_copies", self._copies())
-            words = F.sum(F.col("_size") * F.col("_copies"))
-            done = {r["_pattern"]: r["n"] for r in known.groupBy("_pattern").agg(words.alias("n")).collect()}
-            gaps = {p: self.total[p] - done.get(p, 0) for p in self.words}
-            wide = [(p, g) for p, g in gaps.items() if g > NEAR * max(self.total[p], 1)]
-            if not wide:
-                break
-            gap = F.broadcast(self.spark.createDataFrame(wide, "_pattern string, _gap long"))
-            free = known.where((F.col("_copies") < self.most) & (F.col("_size") > 0)).join(gap, "_pattern")
-            # one that fills a good part of the gap without going over, fewer copies first as they cost less,
-            # else one that ends nearest to the flow
-            fits = (F.col("_size") <= F.col("_gap")) & (4 * F.col("_size") >= F.col("_gap"))
-            large = F.struct((-F.col("_copies")).alias("_copies"), "_size", "_at")
-            nearest = F.struct(F.abs(F.col("_size") - F.col("_gap")).alias("off"), "_copies", "_at")
-            best = free.where(F.col("_size") < 2 * F.col("_gap")).groupBy("_pattern").agg(
-                F.max(F.when(fits, large)).alias("fits"), F.min(nearest).alias("near")
-            ).collect()
-            if not best:
+        """Goes on filling the rest of each pattern. A round takes, of the documents taken least often that are
+        no longer than what is missing, those that come first; what is missing then is less than the length of
+        the next one, so that rounds soon end. When none fits, one more document may end nearer to the flow."""
+        words = F.sum(F.col("_size") * F.col("_copies"))
+        known = placed.join(self._plan(), "_pattern").withColumn("_copies", self._copies())
+        done = {r["_pattern"]: r["n"] for r in known.groupBy("_pattern").agg(words.alias("n")).collect()}
+        gaps = {p: self.total[p] - done.get(p, 0) for p in self.words}
+        open_ = {p for p, g in gaps.items() if g > 0}
+        while open_:
+            gap = self._small([(p, gaps[p]) for p in open_], "_pattern string, _gap long")
+            known = placed.where("_size > 0").join(gap, "_pattern").where("_size < 2 * _gap").join(self._plan(), "_pattern")
+            free = known.withColumn("_copies", self._copies()).where(F.col("_copies") < self.most)
+            level = F.min(F.when(F.col("_size") <= F.col("_gap"), F.col("_copies"))).alias("level")
+            near = F.min(F.struct(F.abs(F.col("_size") - F.col("_gap")).alias("off"), "_copies", "_at", "_size")).alias("near")
+            ways = free.groupBy("_pattern").agg(level, near).collect()
+            for r in ways:
+                if r["level"] is None:
+                    self.rounds[r["_pattern"]].append((r["near"]["_at"], r["near"]["_at"], r["near"]["_size"], r["near"]["_copies"]))
+            levels = {r["_pattern"]: r["level"] for r in ways if r["level"] is not None}
+            open_ = set(levels)
+            if not open_:
                 break
-            for r in best:
-                self.extra[r["_pattern"]].append((r["fits"] or r["near"])["_at"])
+            level = self._small(list(levels.items()), "_pattern string, _level int")
+            free = free.join(level, "_pattern").where("_copies = _level AND _size <= _gap").select("_pattern", "_bin", "_size", "_at", "_gap")
+            earlier = W.partitionBy("_pattern").orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
+            bins = free.groupBy("_pattern", "_bin").agg(F.sum("_size").alias("_words"))
+            bins = bins.select("_pattern", "_bin", F.coalesce(F.sum("_words").over(earlier), F.lit(0)).alias("_before"))
+            inside = W.partitionBy("_pattern", "_bin").orderBy("_at").rowsBetween(W.unboundedPreceding, W.currentRow)
+            ends = free.join(bins, ["_pattern", "_bin"]).withColumn("_end", F.col("_before") + F.sum("_size").over(inside))
+            ends = ends.where("_end <= _gap").groupBy("_pattern").agg(F.max("_at").alias("stop"), F.max("_end").alias("n"))
+            for r in ends.collect():
+                p = r["_pattern"]
+                self.rounds[p].append((0, r["stop"], gaps[p], levels[p]))
+                gaps[p] -= r["n"]
+            open_ = {p for p in open_ if gaps[p] > 0}
 
     def documents(self, keep):
         """The columns `keep` of every row with `_size` and `_copies`."""
@@ -205,9 +240,9 @@ def mixture(docs, source="source", id="doc_id", text="text", **options):
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.col(source).cast("string").alias("source"))
     mix = Mix(rows, F.array("source"), **options)
     sums = [(s, n, mix.targets[s]) for s, n in mix.sizes.items()]
-    sums = docs.sparkSession.createDataFrame(sums, "s string, source_size long, target double")
+    sums = mix._small(sums, "s string, source_size long, target double")
     found = mix.documents(["doc_id", "source"]).select("_row.*", "_size", "_copies")
-    return found.join(F.broadcast(sums), F.col("source").eqNullSafe(F.col("s"))).select(
+    return found.join(sums, F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("_copies")).alias("taken")
     )
 

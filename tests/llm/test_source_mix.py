@@ -105,3 +105,20 @@ def test_overlapping_sources(spark):
             source_mix.Mix(docs, F.col("source"))
         finally:
             source_mix.MOST_PATTERNS = before
+
+
+def test_a_long_document_leaves_no_gap_that_others_fill(spark):
+    rows = [(k, "w " * (3_000 if k % 200 == 0 else 10 + k % 7), "a" if k % 2 == 0 else "b") for k in range(2800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed in (17, 18, 19):
+        got = source_mix.mixture(docs, seed=seed).collect()
+        for s in "ab":
+            part = [r for (_, _, own), r in zip(rows, sorted(got, key=lambda r: r["doc_id"])) if own == s]
+            assert abs(sum(r["taken"] for r in part) - part[0]["target"]) <= 8
+
+
+def test_many_sources_without_overlap(spark, monkeypatch):
+    monkeypatch.setattr(source_mix, "MOST_PATTERNS", 5)
+    docs = spark.createDataFrame([(k, "p q r", f"s{k % 40}") for k in range(400)], "doc_id long, text string, source string")
+    got = source_mix.mixture(docs).collect()
+    assert len(got) == 400 and sum(r["taken"] for r in got) == pytest.approx(1800, rel=0.1)
