@@ -7,7 +7,9 @@ composition is one machine whose outputs say in which context each insult or thr
 the contexts come from a logistic fit, so a matched clause counts, not the word alone.
 
 The insults' weights are learned: of whole words and of word beginnings (prefixes), by how much more often
-labelled texts that are toxic hold them than others. A few insults are known without labels.
+labelled texts that are toxic hold them than others. All are taken up to the count of chance at which so
+many words would pass without any tie to the label that they were FALSE_SHARE of those that do pass: one rule
+for samples of any size. A few insults are known without labels.
 
 Defined results: a null text is the empty text; without usable labels the starting weights are taken; an
 empty table gives no rows; repeated rows get equal scores; only the text is read for a score.
@@ -18,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from orderflow.llm.bytewords import hashes, pieces, spans, utf8
+from orderflow.llm.common import written
 from orderflow.llm.learning import fit_logistic, scored, sigmoid, training_rows
 
 # Words of each class.
@@ -29,7 +32,8 @@ REPORTED = "said says wrote claimed quoted called reported sagte schrieb dit éc
 
 PREFIXES = (4, 5, 6, 8)
 TRAIN_ROWS = 20_000  # about as many labelled texts, by a hash of the id
-LEXICON = 5_000  # words and prefixes with a weight, the heaviest
+LEAST_WEIGHT = 2.5
+FALSE_SHARE = 0.05  # of the learned entries, expected to be there by chance
 START_WEIGHT = 3.0
 REACH = 3
 
@@ -143,8 +147,37 @@ def _counts(batches):
             yield pa.RecordBatch.from_pydict({"key": values.view(np.int64), "bad": bad, "good": all_ - bad})
 
 
+def passing(cells, bad, good, rate=FALSE_SHARE):
+    """Counts (toxic, other) that make an entry, with its weight. `cells` has (toxic, other, keys with these
+    counts); of all texts `bad` are toxic and `good` are not. Among keys held by n texts each, the toxic ones
+    are binomial by chance; what passes is the longest list with at most `rate` of it expected by chance."""
+    toxic, other, keys = np.array(cells, dtype=np.int64).T
+    held, share = toxic + other, bad / (bad + good)
+    weight = np.log((toxic + 0.5) / (bad + 1)) - np.log((other + 0.5) / (good + 1))
+    ways = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, held.max() + 1)))))
+    chances, tails = np.ones(len(held)), []
+    for n in np.unique(held).tolist():
+        k, mine = np.arange(n + 1), held == n
+        exact = np.exp(ways[n] - ways[k] - ways[n - k] + k * np.log(share) + (n - k) * np.log1p(-share))
+        tail = np.cumsum(exact[::-1])[::-1]  # of k or more toxic texts
+        chances[mine] = tail[toxic[mine]]
+        heavy = np.log((k + 0.5) / (bad + 1)) - np.log((n - k + 0.5) / (good + 1)) > LEAST_WEIGHT
+        tails.append((keys[mine].sum(), np.concatenate(([0.0], tail[heavy][::-1]))))
+    heavy = weight > LEAST_WEIGHT
+    limits = np.unique(chances[heavy])
+    by_chance = np.zeros(len(limits))
+    for n_keys, tail in tails:
+        by_chance += n_keys * tail[np.searchsorted(tail, limits, "right") - 1]
+    order = np.sort(np.repeat(chances[heavy], keys[heavy]))
+    fit = np.flatnonzero(by_chance <= rate * np.searchsorted(order, limits, "right"))
+    if not len(fit):
+        return {}
+    taken = heavy & (chances <= limits[fit[-1]])
+    return dict(zip(zip(toxic[taken].tolist(), other[taken].tolist()), weight[taken].tolist()))
+
+
 def learned_lexicon(rows):
-    """Hash -> weight of insults, at most LEXICON of them; `rows` have text and label."""
+    """Hash -> weight of insults; `rows` have text and label, and their words bound the lexicon."""
     known = dict.fromkeys(_key_of(INSULTS).view(np.int64).tolist(), START_WEIGHT)
     totals = rows.groupBy("label").count().collect()
     bad = sum(r["count"] for r in totals if r["label"] == 1)
@@ -152,14 +185,12 @@ def learned_lexicon(rows):
     if not bad or not good:
         return known
     counts = rows.select("text", "label").mapInArrow(_counts, "key long, bad long, good long")
-    counts = counts.groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    weight = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
-    # by chance alone so many toxic texts out of those that hold it are less likely than one in a million
-    chance = F.col("bad") * F.log(F.lit(bad / (bad + good)))
-    often = (chance < -np.log(1e6)) | ((F.col("bad") >= 4) & (F.col("good") == 0) & F.lit(bad + good < 2_000))
-    counts = counts.select("key", weight.alias("weight")).where(often & (F.col("weight") > 2.5))
-    for row in counts.orderBy(F.desc("weight"), "key").limit(LEXICON).collect():
-        known[row["key"]] = row["weight"]
+    counts = written(counts.groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "words")
+    cells = counts.groupBy("bad", "good").count().collect()
+    taken = passing([tuple(r) for r in cells], bad, good) if cells else {}
+    if taken:
+        table = rows.sparkSession.createDataFrame([(*c, w) for c, w in taken.items()], "bad long, good long, weight double")
+        known |= {r["key"]: r["weight"] for r in counts.join(F.broadcast(table), ["bad", "good"]).collect()}
     return known
 
 

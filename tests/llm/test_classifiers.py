@@ -94,3 +94,24 @@ def test_a_matched_clause_counts_not_the_word(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     score = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, none).collect()}
     assert score[1] > score[2] > 0 and score[1] > score[3]
+
+
+@pytest.mark.parametrize("times", [1, 2])
+def test_rare_insults_are_learned_at_any_size(spark, times):
+    """600 insults in 5 toxic texts each and in no other, in samples of 1 500 and 3 000 texts."""
+    rows = []
+    for k in range(1500 * times):
+        words = [f"w{(k * 31 + j * 7) % 400}" for j in range(20)]
+        toxic = int(k % 10 == 0)
+        if toxic:
+            words += [f"{(k // 10 * 20 + j) % (600 * times)}zz" for j in range(20)]
+        rows.append((" ".join(words), toxic))
+    found = toxicity.learned_lexicon(spark.createDataFrame(rows, "text string, label int"))
+    rare = toxicity._key_of([f"{k}zz" for k in range(600 * times)]).view(np.int64).tolist()
+    plain = toxicity._key_of([f"w{k}" for k in range(400)]).view(np.int64).tolist()
+    assert all(k in found for k in rare) and not any(k in found for k in plain)
+
+
+def test_no_entry_by_chance_alone():
+    cells = [(1, 0, 900), (0, 1, 8100), (2, 0, 90), (1, 1, 1620), (0, 2, 7290)]
+    assert toxicity.passing(cells, 1000, 9000) == {}
