@@ -1,6 +1,7 @@
 """License scan: phrases, and an exact set-similarity join of text blocks with licence templates.
 
-A block is a line. A template fits a block that holds at least `threshold` of the template's different
+A block is a line, or the words around a line end: as many before and after it as a template may spread over,
+across further line ends and blank lines. So statements wrapped at any width are blocks. A template fits a block that holds at least `threshold` of the template's different
 words. The join orders the templates' words by their frequency over all blocks, rarest first, indexes the
 prefixes of templates and blocks, and drops pairs by length and by position before the exact count.
 
@@ -42,6 +43,20 @@ def _least(size, threshold):
     return max(1, math.ceil(threshold * size - 1e-9))
 
 
+def _reach(text, threshold):
+    """Words over which a statement may spread, other words among them."""
+    return math.floor(len(text.split()) / threshold + 1e-9)
+
+
+def _around(plain, reach):
+    """For each line end of a plain text the words before and after it, at most `reach` each."""
+    after = F.lit(r"\n(?=((?:[^ \n]++[ \n]?+){1,%d}))" % reach)
+    apart = lambda x: F.trim(F.translate(x, "\n", " "))
+    lefts = F.reverse(F.transform(F.regexp_extract_all(F.reverse(plain), after, 1), F.reverse))
+    rights = F.regexp_extract_all(plain, after, 1)
+    return F.zip_with(lefts, rights, lambda a, b: F.struct(apart(a).alias("left"), apart(b).alias("right")))
+
+
 def _plain(docs, id, text):
     """Texts in lower case, words apart by one space and lines apart by one line feed."""
     plain = F.regexp_replace(ascii_lower(filled(text)), GAPS, " ")
@@ -101,33 +116,43 @@ def word_order(blocks, templates=TEMPLATES):
 def template_matches(docs, id="doc_id", text="text", templates=TEMPLATES, threshold=THRESHOLD):
     """Pairs of a text (doc_id, text_key) and a label with the largest containment of its templates."""
     plain = _plain(docs, id, text)
-    blocks = plain.select("doc_id", F.xxhash64("plain").alias("text_key"), F.explode(F.split("plain", "\n")).alias("line"))
-    blocks = blocks.select("doc_id", "text_key", F.split("line", " ").alias("tokens"))
-    order = word_order(blocks, templates)
+    order = word_order(plain.select(F.explode(F.split("plain", "\n")).alias("line")).select(F.split("line", " ").alias("tokens")), templates)
     entries, prefix_words, fewest = [], set(), min(_least(len(w), threshold) for _, w in _words(templates))
-    for k, (label, words) in enumerate(_words(templates)):
+    for k, ((label, words), (_, statement)) in enumerate(zip(_words(templates), templates)):
+        names, reach = ",".join(f"'{w}'" for w in words), _reach(statement, threshold)
         words = sorted(words, key=order.get)
         least = _least(len(words), threshold)
         for at, word in enumerate(words[: len(words) - least + 1]):
             ids = ",".join(str(order[w]) for w in words)
-            entries.append(f"({k}, '{label}', array({ids}), {least}, {len(words)}, {order[word]}, {at})")
+            entries.append(f"({k}, '{label}', array({ids}), array({names}), {reach}, {least}, {len(words)}, {order[word]}, {at})")
             prefix_words.add(word)
     index = docs.sparkSession.sql(
-        "SELECT * FROM VALUES " + ", ".join(entries) + " AS t(template, label, words, least, size, word, at_t)"
+        "SELECT * FROM VALUES " + ", ".join(entries) + " AS t(template, label, words, names, reach, least, size, word, at_t)"
     )
     ranks = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
-    blocks = blocks.where(F.arrays_overlap("tokens", text_list(sorted(prefix_words))))
+    rare = text_list(sorted(prefix_words))
+    plain = plain.where(F.arrays_overlap(F.split("plain", "[ \n]"), rare))
+    alone = F.transform(F.split("plain", "\n"), lambda x: F.struct(F.lit(None).cast("string").alias("left"), x.alias("right")))
+    around = _around(F.col("plain"), max(_reach(text, threshold) for _, text in templates))
+    blocks = plain.select("doc_id", F.xxhash64("plain").alias("text_key"), F.explode(F.concat(alone, around)).alias("b"))
+    blocks = blocks.select("doc_id", "text_key", "b", F.split(F.concat_ws(" ", "b.left", "b.right"), " ").alias("tokens"))
+    blocks = blocks.where(F.arrays_overlap("tokens", rare))
     # words that no template holds change no overlap: a block is reduced to the others, in the global order
     known = F.array_intersect("tokens", text_list(list(order)))
     blocks = blocks.select(
-        "doc_id", "text_key", F.sort_array(F.transform(known, lambda w: F.element_at(ranks, w))).alias("block")
+        "doc_id", "text_key", "b", F.sort_array(F.transform(known, lambda w: F.element_at(ranks, w))).alias("block")
     ).where(F.size("block") >= fewest)
     prefix = F.slice("block", F.lit(1), F.size("block") - (fewest - 1))
-    heads = blocks.select("doc_id", "text_key", "block", F.posexplode(prefix).alias("at_b", "word"))
+    heads = blocks.select("doc_id", "text_key", "b", "block", F.posexplode(prefix).alias("at_b", "word"))
     pairs = heads.join(F.broadcast(index), "word")  # as many rows as the templates' prefixes have words
     length = F.size("block") >= F.col("least")
     position = F.least(F.size("block") - F.col("at_b"), F.col("size") - F.col("at_t")) >= F.col("least")
-    overlap = F.size(F.array_intersect("block", "words"))
+    # around a line end, only as far as this template may spread
+    side = lambda x, n: F.call_function("substring_index", F.col(x), F.lit(" "), n)
+    near = F.split(F.concat_ws(" ", side("b.left", -F.col("reach")), side("b.right", F.col("reach"))), " ")
+    overlap = F.when(F.col("b.left").isNull(), F.size(F.array_intersect("block", "words"))).otherwise(
+        F.size(F.array_intersect(near, F.col("names")))
+    )
     pairs = pairs.where(length & position).select("doc_id", "text_key", "label", overlap.alias("n"), "size", "least")
     return pairs.where(F.col("n") >= F.col("least")).groupBy("doc_id", "text_key", "label").agg(
         F.max(F.col("n") / F.col("size")).alias("containment")

@@ -53,3 +53,19 @@ def test_statements_are_found_without_a_phrase(spark):
     rows = {r["doc_id"]: r for r in license_scan.licenses(docs).collect()}
     assert "cc-by-nc" in rows[1]["labels"] and rows[1]["base_labels"] == "" and rows[1]["score"] == 1.0
     assert rows[2]["labels"] == "" and rows[2]["score"] == 0.0
+
+
+@pytest.mark.parametrize("width", [1, 3, 6, 9])
+@pytest.mark.parametrize("before, mark", [("", ""), ("some code of ours\n", "# "), ("words " * 50 + "\n\n", " * ")])
+def test_wrapped_statements_are_found(spark, width, before, mark):
+    rows = []
+    for k, (_, statement) in enumerate(license_scan.TEMPLATES):
+        words = statement.split()
+        lines = [mark + " ".join(words[i : i + width]) for i in range(0, len(words), width)]
+        rows.append((k, before + "\n".join(lines) + "\n" + mark + "more text"))
+    far = "all the words\n" + "other line here\n" * 9 + "rights\n" + "other line here\n" * 9 + "reserved"
+    docs = spark.createDataFrame(rows + [(99, far)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.licenses(docs).collect()}
+    for k, (label, _) in enumerate(license_scan.TEMPLATES):
+        assert label in got[k]["labels"].split(",") and got[k]["score"] == 1.0
+    assert got[99]["labels"] == ""
