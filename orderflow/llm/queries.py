@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from orderflow.llm import repair
+from orderflow.llm import byte_bpe, repair
 from orderflow.llm.common import remainder_of_id, table
+from orderflow.llm.fill_middle import MIDDLE, PREFIX, SUFFIX, infilled, restored
+from orderflow.llm.filter_audit import audit as filter_audit
 from orderflow.llm.host_rank import url_verdicts
 from orderflow.llm.license_scan import PHRASES, TEMPLATES, THRESHOLD, licenses
 from orderflow.llm.line_crf import quality
@@ -72,6 +74,25 @@ def op10_source_mix(spark, folder):
     return mixture(table(spark, folder, "documents"))
 
 
+def op11_fill_middle(spark, folder):
+    rows = infilled(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_byte_bpe(spark, folder):
+    import public_tokenizers
+
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    rows = byte_bpe.encoded(table(spark, folder, "documents"), ranks, pattern)
+    data = byte_bpe.decoded(F.col("ids"), ranks, pattern)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(data, 256).alias("decoded_sha256"))
+
+
+def op13_filter_audit(spark, folder):
+    return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality_classifier": op2_quality_classifier,
@@ -83,6 +104,9 @@ QUERIES = {
     "op8_token_ids": op8_token_ids,
     "op9_quality_rules": op9_quality_rules,
     "op10_source_mix": op10_source_mix,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 
@@ -159,4 +183,55 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND (n_words < 100 OR n_stop >= 2) AND 2 * n_dup_lines <= n_lines AND 2 * n_cut <= n_lines
     AND 10 * n_bullets <= 9 * n_lines AS kept
 FROM b""",
+    "op11_fill_middle": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+u AS (SELECT r, doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS us,
+    [CAST('0x' || substr(digest, 8 * k + 1, 8) AS BIGINT) for k in range(4)] AS h FROM d),
+c AS (SELECT *, least(h[1] % (len(us) + 1), h[2] % (len(us) + 1)) AS a,
+    greatest(h[1] % (len(us) + 1), h[2] % (len(us) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '{PREFIX}') OR contains(t, '{SUFFIX}') OR contains(t, '{MIDDLE}') OR h[3] % 100 >= 90
+      THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, coalesce(array_to_string(us[:a], ''), '') AS pre, coalesce(array_to_string(us[a + 1:b], ''), '') AS mid,
+    coalesce(array_to_string(us[b + 1:], ''), '') AS suf FROM c)
+SELECT doc_id, len(us)::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{PREFIX}' || pre || '{SUFFIX}' || suf || '{MIDDLE}' || mid
+    ELSE '{SUFFIX}' || suf || '{PREFIX}' || pre || '{MIDDLE}' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p""",
+    "op13_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^ 	-]+') AS ws FROM d),
+known AS (SELECT doc_id, max(CAST(coalesce(quality = 1, false) AS INT)) AS good, max(CAST(coalesce(toxic = 1, false) AS INT)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    list_filter([CASE WHEN len(ws) < 100 THEN 'A' END,
+      CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' END,
+      CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+      CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY t) THEN 'E' END], lambda x: x IS NOT NULL) AS fails
+  FROM w LEFT JOIN known ON w.doc_id = known.doc_id),
+cells AS (SELECT part, fails, good, toxic, count(*) AS n FROM m GROUP BY ALL),
+letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+walked AS (
+  SELECT *, filter_order[step] AS f, list_has_any(fails, string_split(filter_order[:step - 1], '')) AS gone
+  FROM cells, orders, (SELECT unnest(range(1, 6)) AS step)),
+counted AS (
+  SELECT part, filter_order, step, f,
+    sum(CASE WHEN NOT gone AND NOT list_contains(fails, f) THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN NOT gone AND list_contains(fails, f) THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN gone AND list_contains(fails, f) THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = [f] THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN NOT gone AND list_contains(fails, f) THEN n * good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN NOT gone AND list_contains(fails, f) THEN n * toxic ELSE 0 END) AS toxic_lost
+  FROM walked GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+  toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM counted""",
 }
