@@ -37,7 +37,7 @@ def count_triggered_stats(orders, keys, size, period_ms=60_000, offset_ms=0, ord
     """Running orders, users and totalFee of a key inside each period, reported at every `size` orders.
 
     First sights of a user enter the running sums as extra rows of weight 0, so users are counted
-    in the same pass as orders and no task holds a user set.
+    in the same pass as orders and no task holds a user set. Orders without a user count as orders, not as users.
     """
     order = list(order)
     timed = orders.withColumn(
@@ -48,7 +48,7 @@ def count_triggered_stats(orders, keys, size, period_ms=60_000, offset_ms=0, ord
     # one pass over the source: written, it is read for the orders and for the first sights
     slim = stored(slim.withColumn("_tie", tie_break(slim)), "orders")
     order = [*order, "_tie"]
-    first_seen = slim.groupBy(*groups, user).agg(F.min(F.struct(*order)).alias("o"))
+    first_seen = slim.filter(F.col(user).isNotNull()).groupBy(*groups, user).agg(F.min(F.struct(*order)).alias("o"))
     rows = slim.select(*groups, *order, "fee", F.lit(1).alias("_order"), F.lit(0).alias("_user"))
     sights = first_seen.select(
         *groups, *[F.col(f"o.{c}").alias(c) for c in order],

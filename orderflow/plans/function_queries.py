@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderflow.functions import arrays, dates, jsons, numbers, text
+from orderflow.functions import arrays, dates, jsons, numbers, text, variants
 from orderflow.plans import base
 from orderflow.plans.base import ORDERS_SQL, PRODUCTS_SQL
 from orderflow.sources import tables
@@ -115,6 +115,24 @@ def json_flatten(spark, folder):
     return rows.select("orderID", entry).select("orderID", F.col("e.key").alias("key"), F.col("e.value").alias("text"))
 
 
+def json_flatten_any(spark, folder):
+    """Messages of three shapes and lines that are no object, flattened without a schema."""
+    stops = F.array(*[F.struct(F.col(c).alias("at")) for c in ("pubID", "traffic")])
+    shapes = (
+        F.struct(F.col("orderID").alias("id"), F.struct(F.struct(F.col("userRegion").alias("region")).alias("home")).alias("user"),
+                 F.array("traffic", F.when(F.col("seq") % 8 == 0, F.lit("even"))).alias("tags")),
+        F.struct(F.col("orderID").alias("id"), "fee", (F.col("seq") % 8 == 1).alias("paid")),
+        F.struct(F.struct(F.struct(F.col("userRegion").alias("city")).alias("from"), stops.alias("stops")).alias("route")),
+    )
+    options = {"ignoreNullFields": "false"}
+    text = F.lit("no object")
+    for k, shape in enumerate(shapes):
+        text = F.when(F.col("seq") % 4 == k, F.to_json(shape, options)).otherwise(text)
+    rows = base.orders(spark, folder).select("orderID", text.alias("message"))
+    found = variants.flat_entries(rows, ["orderID"], "message")
+    return found.select("orderID", "key", F.col("value").alias("text"))
+
+
 def json_single_level(spark, folder):
     rows = base.order_lines(spark, folder).select(jsons.text_map("value").alias("m"))
     return rows.select(F.col("m")["order_id"].alias("orderID"), F.explode("m").alias("key", "text"))
@@ -122,7 +140,7 @@ def json_single_level(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     scalar_dates, scalar_text, scalar_numbers, scalar_hashes, scalar_emptiness, dimension_snapshot, json_flatten,
-    json_single_level,
+    json_flatten_any, json_single_level,
 )}
 
 ORACLE = {
@@ -158,6 +176,14 @@ SELECT "orderID", e.key, e.text FROM orders_d, unnest([
   {{'key': 'items_0_product', 'text': "productID"}}, {{'key': 'items_0_fee', 'text': CAST(fee AS VARCHAR)}},
   {{'key': 'items_1_product', 'text': "productID"}}, {{'key': 'items_1_fee', 'text': CAST(fee AS VARCHAR)}}]) u(e)
 WHERE e.text IS NOT NULL""",
+    "json_flatten_any": f"""WITH {ORDERS_SQL}
+SELECT "orderID", e.key, e.text FROM orders_d, unnest(CASE seq % 4
+  WHEN 0 THEN [{{'key': 'id', 'text': "orderID"}}, {{'key': 'home_region', 'text': "userRegion"}}, {{'key': 'tags_0', 'text': traffic}},
+    {{'key': 'tags_1', 'text': CASE WHEN seq % 8 = 0 THEN 'even' END}}]
+  WHEN 1 THEN [{{'key': 'id', 'text': "orderID"}}, {{'key': 'fee', 'text': CAST(fee AS VARCHAR)}},
+    {{'key': 'paid', 'text': CASE WHEN seq % 8 = 1 THEN 'true' ELSE 'false' END}}]
+  WHEN 2 THEN [{{'key': 'from_city', 'text': "userRegion"}}, {{'key': 'stops_0_at', 'text': "pubID"}}, {{'key': 'stops_1_at', 'text': traffic}}]
+  END) u(e) WHERE e.text IS NOT NULL""",
     "json_single_level": f"""WITH {ORDERS_SQL}
 SELECT "orderID", e.key, e.text FROM orders_d, unnest([{", ".join(
     f"{{'key': '{key}', 'text': CAST(" + '"' + field + '"' + " AS VARCHAR)}" for key, field in tables.ORDER_KEYS.items())}]) u(e)""",

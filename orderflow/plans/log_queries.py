@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from orderflow.operators import logs as ops, messages, patterns, windows
+from orderflow.operators import logs as ops, messages, patterns, spread, windows
 from orderflow.operators.orders import with_event_time
 from orderflow.plans import base
 from orderflow.plans.base import LOGS_SQL, ORDERS_SQL
@@ -144,7 +144,22 @@ def price_below_value(spark, folder):
     return found.select("orderID", "price", "fee", "ct", "inWindow")
 
 
+def remote_logins(spark, folder):
+    """Launches of users seen in more than one region within two days; regions change with the launch."""
+    launches = ops.launches_only(base.logs(spark, folder))
+    launches = launches.withColumn("userRegion", F.concat(F.lit("R"), (F.col("seq") % 7).cast("string")))
+    found = spread.remote_logins(launches, most=1, within_ms=2 * DAY)
+    return found.select("sid", "userId", "userRegion", "ct", "regions")
+
+
+def many_means(spark, folder):
+    """Events of users who come by more than two kinds of them within a day."""
+    found = spread.many_means(base.logs(spark, folder), most=2, within_ms=DAY)
+    return found.select("sid", "userId", "eventType", "ct", "means")
+
+
 QUERIES = {f.__name__: f for f in (
+    remote_logins, many_means,
     log_decode, log_click, log_pageview, log_viewlist_flat, log_event_filters, log_quality_gate,
     decode_codes, cep_duration_matches, cep_duration_alerts, cep_duration_events, cep_duration_by_user,
     envelope_alert, envelope_page_view, envelope_log, pageview_stats, low_duration_split, click_stats,
@@ -257,6 +272,13 @@ SELECT "userDevice", "userId", "userRegion", "userRegionIP" AS "userRegionIp", "
     "burst_launches_by_user": _burst_sql(
         LOGS_SQL, "SELECT * FROM logs WHERE action = '02'", 'sid, "userId", ct', "userId", "event_id", 2, DAY
     ),
+    "remote_logins": f"""WITH {LOGS_SQL},
+l AS (SELECT sid, "userId", 'R' || (event_id % 7) AS "userRegion", ct FROM logs WHERE action = '02')
+SELECT a.sid, a."userId", a."userRegion", a.ct, count(DISTINCT b."userRegion") AS regions
+FROM l a JOIN l b ON b."userId" = a."userId" AND b.ct <= a.ct AND b.ct > a.ct - {2 * DAY} GROUP BY ALL HAVING count(DISTINCT b."userRegion") > 1""",
+    "many_means": f"""WITH {LOGS_SQL}
+SELECT a.sid, a."userId", a."eventType", a.ct, count(DISTINCT b."eventType") AS means
+FROM logs a JOIN logs b ON b."userId" = a."userId" AND b.ct <= a.ct AND b.ct > a.ct - {DAY} GROUP BY ALL HAVING count(DISTINCT b."eventType") > 2""",
     "price_below_value": _burst_sql(
         ORDERS_SQL, "SELECT *, 1 AS everyone FROM orders_d WHERE price * 10 < fee - 8", '"orderID", price, fee, ct',
         "everyone", "seq", 1, HOUR,

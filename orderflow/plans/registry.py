@@ -2,9 +2,9 @@
 
 import functools
 
-from orderflow.plans import function_queries, job_queries, log_queries, order_queries, stream_queries
+from orderflow.plans import function_queries, job_queries, live_queries, log_queries, order_queries, stream_queries
 
-_PARTS = (order_queries, log_queries, function_queries, stream_queries, job_queries)
+_PARTS = (order_queries, log_queries, function_queries, stream_queries, live_queries, job_queries)
 
 
 def _in_utc(query):

@@ -7,6 +7,7 @@ from orderflow.operators import patterns
 from orderflow.operators.counted import count_chunks, running_snapshots
 from orderflow.operators.ordered import tie_break
 from orderflow.operators.ranking import TOP_N, RANK_WINDOW_MS, top_n
+from orderflow.operators.windows import average_fee, order_measures
 
 
 def _schema(df, columns):
@@ -65,7 +66,8 @@ class CountTriggered:
 
     The input is `with_first_sights(stream, …)`: orders plus one row for each user new to a key and
     period. Only the running totals of open periods are carried; rows of a period that has ended are dropped.
-    Give the stream a watermark of `delay_ms`, so that both drop the same rows.
+    Give the stream a watermark of `delay_ms`, so that both drop the same rows. Orders without a user count as
+    orders, not as users.
     """
 
     def __init__(self, keys, size, period_ms, offset_ms=0, delay_ms=0, order=("ct", "seq"), user="userID"):
@@ -74,14 +76,27 @@ class CountTriggered:
         self.groups = [*self.keys, "startWindowTime"]
 
     def with_first_sights(self, stream, watermark_column="ts"):
-        """Adds a `_sight` row for each user's first row in a key and period; state is spread by user."""
+        """Adds a `_sight` row for each user's first row in a key and period; state is spread by user and ends
+        with the period."""
         start = F.floor((F.col("ct") - self.offset_ms) / self.period_ms) * self.period_ms + self.offset_ms
-        rows = stream.withColumn("startWindowTime", start)
+        period = F.window(watermark_column, f"{self.period_ms} milliseconds", startTime=f"{self.offset_ms} milliseconds")
+        rows = stream.withColumn("startWindowTime", start).withColumn("_period", period)
         fee = F.col("fee").cast("bigint").alias("fee")
-        slim = rows.select(*self.groups, self.user, *self.order[:-1], fee, watermark_column)
-        slim = slim.withColumn("_tie", tie_break(slim))
-        first = slim.dropDuplicates([*self.groups, self.user])
-        return slim.withColumn("_sight", F.lit(0)).unionByName(first.withColumn("_sight", F.lit(1)))
+        slim = rows.select(*self.groups, self.user, *self.order[:-1], fee, "_period")
+        slim = slim.withColumn("_tie", tie_break(slim.drop("_period")))
+        first = slim.filter(F.col(self.user).isNotNull()).dropDuplicates([*self.keys, "_period", self.user])
+        both = slim.withColumn("_sight", F.lit(0)).unionByName(first.withColumn("_sight", F.lit(1)))
+        return both.drop("_period")
+
+    def _timely(self, batch, before):
+        if before is None:
+            return batch
+        return batch.filter(F.col("startWindowTime") + self.period_ms > F.lit(before - self.delay_ms))
+
+    def _open(self, totals, now):
+        if now is None:
+            return totals
+        return totals.filter(F.col("startWindowTime") + self.period_ms > F.lit(now - self.delay_ms))
 
     def carried_schema(self, stream):
         return T.StructType([
@@ -90,8 +105,7 @@ class CountTriggered:
         ])
 
     def __call__(self, carried, batch, before, now):
-        if before is not None:
-            batch = batch.filter(F.col("startWindowTime") + self.period_ms > F.lit(before - self.delay_ms))
+        batch = self._timely(batch, before)
         # a sight row only says that the user is new; its place is the user's first row of the batch
         seen = batch.groupBy(*self.groups, self.user).agg(
             F.min(F.struct(*self.order)).alias("o"), F.max("_sight").alias("_sight")
@@ -114,15 +128,83 @@ class CountTriggered:
         )
         rows = fresh.unionByName(old)
         results = running_snapshots(rows, self.groups, self.size, self.order)
-        totals = rows.groupBy(*self.groups).agg(*[F.sum(c).alias(c) for c in ("_order", "_user", "fee")])
-        if now is not None:
-            totals = totals.filter(F.col("startWindowTime") + self.period_ms > F.lit(now - self.delay_ms))
+        totals = self._open(rows.groupBy(*self.groups).agg(*[F.sum(c).alias(c) for c in ("_order", "_user", "fee")]), now)
         return results.select(
             *self.keys, F.date_format(F.timestamp_millis("ct"), "yyyyMMddHH").alias("etTime"),
             "startWindowTime", "ct", "orders", "users", "totalFee",
         ), totals, []
 
 
+class RenewedTotals(CountTriggered):
+    """Running orders, users and totalFee per key and period, given out again by each trigger that brought orders
+    of that period, exact up to `clock`, the latest time seen.
+
+    The input is `with_first_sights(stream, …)`: as each user's first row of a period comes along marked, a
+    trigger adds its own orders, fees and new users to the totals carried, and no user is looked up or estimated.
+    """
+
+    def __init__(self, keys, period_ms, offset_ms=0, delay_ms=0, order=("ct", "seq"), user="userID"):
+        super().__init__(keys, None, period_ms, offset_ms, delay_ms, order, user)
+
+    def __call__(self, carried, batch, before, now):
+        is_order = F.col("_sight") == 0
+        fresh = self._timely(batch, before).groupBy(*self.groups).agg(
+            F.count_if(is_order).alias("_order"), F.count_if(~is_order).alias("_user"),
+            F.sum(F.when(is_order, F.col("fee"))).alias("fee"),
+        )
+        rows = fresh.withColumn("_new", F.lit(True)).unionByName(carried.withColumn("_new", F.lit(False)))
+        totals = rows.groupBy(*self.groups).agg(
+            *[F.sum(c).alias(c) for c in ("_order", "_user", "fee")], F.bool_or("_new").alias("_new")
+        ).persist()
+        results = totals.filter("_new").select(
+            *self.keys, "startWindowTime", (F.col("startWindowTime") + self.period_ms).alias("endWindowTime"),
+            F.lit(now).cast("bigint").alias("clock"), F.col("_order").alias("orders"), F.col("_user").alias("users"),
+            F.col("fee").alias("totalFee"),
+        )
+        return results, self._open(totals, now).drop("_new"), [totals]
+
+
+class WindowRevisions:
+    """Measures per key and event-time window as a log of revisions.
+
+    Revision 1 of a window is given out when the clock less `delay_ms` reaches its end, a further one by each
+    micro-batch that brings rows of it until `lateness_ms` later; rows after that are dropped. Per key and
+    open window one row of measures and the number of the last revision are carried. The row with the greatest
+    `revision` of a window is its current result, so a keyed table takes it as the version.
+    """
+
+    measures = ("orders", "maxFee", "totalFee", "members")
+
+    def __init__(self, keys, size_ms, lateness_ms=0, delay_ms=0, exact=False):
+        self.keys, self.size_ms, self.lateness_ms, self.delay_ms = list(keys), size_ms, lateness_ms, delay_ms
+        self.groups, self.exact = [*self.keys, "startWindowTime"], exact
+
+    def carried_schema(self, stream):
+        numbers = ["startWindowTime", *self.measures, "revision"]
+        return T.StructType([*[stream.schema[c] for c in self.keys], *[T.StructField(c, T.LongType()) for c in numbers]])
+
+    def __call__(self, carried, batch, before, now):
+        end, none = F.col("startWindowTime") + self.size_ms, F.lit(0).cast("bigint")
+        rows = batch.withColumn("startWindowTime", F.floor(F.col("ct") / self.size_ms) * self.size_ms)
+        if before is not None:
+            rows = rows.filter(end + self.lateness_ms > F.lit(before - self.delay_ms))
+        fresh = rows.filter(F.col("ct").isNotNull()).groupBy(*self.groups).agg(*order_measures())
+        fresh = fresh.select(*self.groups, *self.measures, none.alias("revision"), F.lit(True).alias("_new"))
+        windows = fresh.unionByName(carried.withColumn("_new", F.lit(False))).groupBy(*self.groups).agg(
+            *[(F.max if c == "maxFee" else F.sum)(c).cast("bigint").alias(c) for c in self.measures],
+            F.max("revision").alias("revision"), F.bool_or("_new").alias("_new"),
+        )
+        known = F.lit(None if now is None else now - self.delay_ms).cast("bigint")
+        told = F.coalesce(end <= known, F.lit(False)) & ((F.col("revision") == 0) | F.col("_new"))
+        windows = windows.withColumn("_told", told).persist()
+        windows_now = windows.withColumn("revision", F.col("revision") + F.col("_told").cast("bigint"))
+        results = windows_now.filter("_told").select(
+            *self.groups, end.alias("endWindowTime"), *self.measures, average_fee(self.exact), "revision"
+        )
+        keep = windows_now.filter(F.coalesce(end + self.lateness_ms > known, F.lit(True)))
+        return results, keep.select(*self.groups, *self.measures, "revision"), [windows]
+
+
 class TopN:
     """Final top-N per ranking period over a stream of closed windows (append-mode statistics).
 

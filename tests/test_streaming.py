@@ -219,30 +219,6 @@ def test_landing(spark, tmp_path):
     assert {str(r["bucket"]): r["count"] for r in got} == {"1970010100": 1, "1970010101": 2}
 
 
-def test_clock_batches(spark, tmp_path):
-    import time
-
-    from orderflow.streaming.timers import count_or_clock
-
-    rows = [("a" if i < 12 else "b", f"u{i % 3}", i, i, i, "R", "P", "1", "0", "") for i in range(14)]
-    feed = Feed(spark, tmp_path, [rows[:7], rows[7:]])
-    batches = count_or_clock(feed.stream().drop("ts"), ["traffic"], 5, 6_000)
-    q = batches.writeStream.format("memory").queryName("clock").outputMode("append").option(
-        "checkpointLocation", feed.log).trigger(processingTime="1 second").start()
-    deadline = time.time() + 60
-    while time.time() < deadline:
-        got = spark.table("clock").collect()
-        if sum(r.orders for r in got) == 14:
-            break
-        time.sleep(0.5)
-    q.stop()
-    assert sum(r.orders for r in got) == 14 and sum(r.totalFee for r in got) == sum(range(14))
-    by_key = {k: sorted((r.orders for r in got if r.traffic == k), reverse=True) for k in "ab"}
-    assert sum(by_key["a"]) == 12 and by_key["a"][0] == 5 and sum(by_key["b"]) == 2
-    assert all(1 <= r.users <= 3 for r in got)
-    assert all(r.endWindowTime % 6_000 == 0 for r in got if r.orders < 5)
-
-
 def test_runs_are_kept_apart(spark, tmp_path):
     """A query with another checkpoint over the same folder takes nothing away."""
 
