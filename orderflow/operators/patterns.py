@@ -170,9 +170,11 @@ def duration_matches(views, low=5, high=50, **options):
 
 
 def alerts(matches, repeat=False):
-    """Alert records: one per row that is in a match. With `repeat` a row comes once for each match it is in;
-    their number grows with the square of a run, so ask for it only where runs are short."""
+    """Alert records: one per row that is in a match, with `matches`, the number of matches it is in. With
+    `repeat` a row comes once for each of them instead; their number grows with the square of a run, so ask for it
+    only where runs are short."""
+    extra = [] if repeat else ["matches"]
     if repeat:
         matches = matches.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("matches"))))
     renames = {"userRegionIp": "userRegionIP"}
-    return matches.select(*[F.col(renames.get(n, n)).alias(n) for n in ALERT.fieldNames()])
+    return matches.select(*[F.col(renames.get(n, n)).alias(n) for n in ALERT.fieldNames()], *extra)

@@ -62,6 +62,25 @@ def order_window_stats(orders, keys, size=WINDOW, slide=None, offset=None, ts="t
     )
 
 
+def sliding_stats(orders, keys, size, slide, pane, ts="ts", inclusive_end=False, exact=False, fee="fee"):
+    """The measures of `order_window_stats` for sliding windows, put together from panes.
+
+    `pane` divides both the window and its slide. Orders are summed per pane once; what is copied into every window
+    it lies in is a pane, one row per key, so the rows of the second exchange do not grow with size / slide times the
+    orders. On a stream both steps share the watermark of `ts` (append mode).
+    """
+    panes = windowed(orders, keys, order_measures(fee), pane, ts=ts)
+    moment = panes.select(*keys, F.window_time("window").alias("_ts"), "orders", "maxFee", "totalFee", "members")
+    window = F.window("_ts", size, slide)
+    stats = moment.groupBy(window.alias("window"), *keys).agg(
+        F.sum("orders").alias("orders"), F.max("maxFee").alias("maxFee"), F.sum("totalFee").alias("totalFee"),
+        F.sum("members").alias("members"),
+    )
+    return stats.select(
+        *keys, *window_bounds(inclusive_end=inclusive_end), "orders", "maxFee", "totalFee", "members", average_fee(exact),
+    )
+
+
 def region_traffic_stats(orders, size=WINDOW, **options):
     return order_window_stats(orders, ["userRegion", "traffic"], size, **options)
 

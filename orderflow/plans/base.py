@@ -1,5 +1,7 @@
 """Base frames of the registered queries and their SQL counterparts."""
 
+from pyspark.sql import functions as F
+
 from orderflow.operators.logs import log_messages
 from orderflow.operators.orders import with_event_time
 from orderflow.sources import tables
@@ -10,6 +12,14 @@ def orders(spark, folder):
     return with_event_time(tables.orders_from(tables.table(spark, folder, "events")))
 
 
+def orders_beyond(spark, folder):
+    """Orders of which some name a product or a hotel that no dimension has."""
+    def lost(name, by, rest):
+        return F.when(F.col("seq") % by == rest, F.concat(F.lit("X"), name)).otherwise(F.col(name))
+
+    return orders(spark, folder).withColumns({"productID": lost("productID", 7, 3), "pubID": lost("pubID", 11, 5)})
+
+
 def logs(spark, folder):
     return with_event_time(tables.logs_from(tables.table(spark, folder, "events")))
 
@@ -77,3 +87,7 @@ wide AS (
     coalesce(p."toursimType", '-1') AS "toursimType", coalesce(p."depCode", '-1') AS "depCode",
     coalesce(p."desCode", '-1') AS "desCode"
   FROM orders_d o LEFT JOIN products p USING ("productID"))"""
+
+BEYOND_SQL = f"""{ORDERS_SQL},
+beyond AS (SELECT * REPLACE (CASE WHEN seq % 7 = 3 THEN 'X' || "productID" ELSE "productID" END AS "productID",
+  CASE WHEN seq % 11 = 5 THEN 'X' || "pubID" ELSE "pubID" END AS "pubID") FROM orders_d)"""

@@ -1,6 +1,7 @@
 """Registered end-to-end jobs: message lines in, sink rows out, with typed fields read back."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderflow.operators.logs import log_messages
 from orderflow.plans import base, jobs
@@ -9,11 +10,14 @@ from orderflow.plans.log_queries import NARROW, VIEWS_SQL, _matches_sql
 from orderflow.plans.order_queries import (
     DAY, HOUR, MWIDE_SQL, _topn_sql, _window_sql,
 )
-from orderflow.schemas import ORDER_DETAIL, PAGE_VIEW
+from orderflow.schemas import ALERT, ORDER_DETAIL, ORDER_TRAFFIC_STATS, PAGE_VIEW, VIEW_LIST_FACT
 from orderflow.sources import tables
 from orderflow.sources.messages import decode
 
 
+ALERT_MATCHES = T.StructType([*ALERT.fields, T.StructField("matches", T.LongType())])
+
+
 def _lines(spark, folder):
     """Order lines with their arrival number."""
     rows = tables.orders_from(tables.table(spark, folder, "events"))
@@ -93,7 +97,23 @@ def job_product_views(spark, folder):
 
 def job_behaviour_alerts(spark, folder):
     rows = jobs.behaviour_alerts(base.log_lines(spark, folder), within_ms=2 * HOUR)
-    return _read(rows, "userId string", "duration string", "ct string")
+    return _read(rows, "userId string", "duration string", "ct string", "matches string")
+
+
+def job_decoded_alerts(spark, folder):
+    """The keyed alerts, decoded again with all their fields."""
+    rows = jobs.behaviour_alerts(base.log_lines(spark, folder), within_ms=2 * HOUR)
+    return decode(rows, ALERT_MATCHES)
+
+
+def job_decoded_list_views(spark, folder):
+    return decode(jobs.product_views(base.log_lines(spark, folder)), VIEW_LIST_FACT)
+
+
+def job_decoded_stats(spark, folder):
+    """The keyed statistics of products, decoded again with all their fields."""
+    rows = jobs.top_products(_lines(spark, folder), size="1 hour", period_ms=DAY, rank_within=())
+    return decode(rows, ORDER_TRAFFIC_STATS)
 
 
 def job_decoded_order_detail(spark, folder):
@@ -122,7 +142,7 @@ def job_rejected_page_views(spark, folder):
 QUERIES = {f.__name__: f for f in (
     job_order_detail, job_order_wide, job_running_totals, job_order_mwide, job_region_stats_pairs,
     job_region_stats_documents, job_count_triggered, job_count_or_time, job_top_products, job_type_stats,
-    job_decoded_order_detail, job_decoded_page_views, job_rejected_orders, job_rejected_page_views,
+    job_decoded_order_detail, job_decoded_page_views, job_decoded_alerts, job_decoded_list_views, job_decoded_stats, job_rejected_orders, job_rejected_page_views,
     job_clicks, job_page_views, job_page_view_messages, job_product_views, job_behaviour_alerts,
 )}
 
@@ -179,6 +199,16 @@ SELECT md5(sid || "userDevice" || "userId") AS key, 'P' || CASE WHEN i = 0 THEN
   CAST(k % 9 AS VARCHAR) AS "travelTime"
 FROM logs, (VALUES (0), (1)) s(i) WHERE event_type = 'purchase' AND event_id % 10 <> 1""",
     "job_behaviour_alerts": f"""WITH {_matches_sql(2 * HOUR)}
-SELECT md5("userId" || "userRegion" || "userRegionIP") AS key, "userId", duration, CAST(ct AS VARCHAR) AS ct
-FROM (SELECT DISTINCT * FROM alerted)""",
+SELECT md5("userId" || "userRegion" || "userRegionIP") AS key, "userId", duration, CAST(ct AS VARCHAR) AS ct,
+  CAST(matches AS VARCHAR) AS matches
+FROM (SELECT *, count(*) AS matches FROM alerted GROUP BY ALL)""",
+    "job_decoded_alerts": f"""WITH {_matches_sql(2 * HOUR)}
+SELECT "userDevice", "userId", "userRegion", "userRegionIP" AS "userRegionIp", duration, ct, matches
+FROM (SELECT *, count(*) AS matches FROM alerted GROUP BY ALL)""",
+    "job_decoded_list_views": f"""WITH {LOGS_SQL}
+SELECT {NARROW}, 'P' || CASE WHEN i = 0 THEN k ELSE (k + 1) % 100 END AS "targetId", "hotTarget", '52' AS "travelSend",
+  '202002' AS "travelSendTime", CAST(k % 9 AS VARCHAR) AS "travelTime", CAST(k % 5 AS VARCHAR) AS "productLevel", '0' || (k % 3) AS "productType"
+FROM logs, (VALUES (0), (1)) s(i) WHERE event_type = 'purchase' AND event_id % 10 <> 1""",
+    "job_decoded_stats": f"""SELECT "productID", traffic, "startWindowTime", "endWindowTime", orders, "totalFee"
+FROM ({_topn_sql(DAY, 3, [], True)})""",
 }

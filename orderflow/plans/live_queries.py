@@ -4,12 +4,17 @@ import time
 
 from pyspark.sql import functions as F
 
+from orderflow.operators import lookup
+from orderflow.operators.logs import log_messages
 from orderflow.operators.orders import with_event_time, with_hour
 from orderflow.operators.windows import DAY_OFFSET_UTC8
-from orderflow.plans.base import MEMBERS_SQL, ORDERS_SQL
-from orderflow.plans.stream_queries import DAY, HOUR, _carried, _in_parts, _in_time, _parted
+from orderflow.plans import base, jobs
+from orderflow.plans.base import LOGS_SQL, MEMBERS_SQL, ORDERS_SQL, WIDE_SQL
+from orderflow.plans.log_queries import NARROW
+from orderflow.plans.stream_queries import DAY, HOUR, ONCE, _carried, _finish, _in_parts, _in_time, _parted
 from orderflow.session import new_folder
 from orderflow.sources import tables
+from orderflow.sources.dimensions import SnapshotLog
 from orderflow.streaming import sinks
 from orderflow.streaming.steps import RenewedTotals, WindowRevisions
 from orderflow.streaming.timers import count_or_clock, timer_state
@@ -62,7 +67,74 @@ def stream_count_or_clock(spark, folder):
     )
 
 
-QUERIES = {f.__name__: f for f in (stream_day_renewed, late_region_revisions, stream_count_or_clock)}
+def _upserted(spark, rows, name, key, version, merge=False):
+    out = new_folder(spark, name)
+    query, table = sinks.to_keyed_table(rows, f"{out}/table", key, f"{out}/log", version, merge=merge, trigger=ONCE)
+    _finish(query)
+    return table.read(spark, merge)
+
+
+def _shared_sids(logs):
+    """Logs of which a hundred share their ids, some without a time."""
+    return logs.withColumns({
+        "sid": F.concat(F.lit("s"), (F.col("seq") % 100).cast("string")),
+        "ct": F.when(F.col("seq") % 19 != 0, F.col("ct")),
+    })
+
+
+def upsert_clicks(spark, folder):
+    """Clicks that pass the quality rules, in four micro-batches, the newest of each id."""
+    logs = log_messages(_shared_sids(tables.logs_from(_in_parts(spark, folder))))
+    return _upserted(spark, jobs.clicks(logs), "clicks", "sid", "ct")
+
+
+def upsert_page_views(spark, folder):
+    """Page views that pass the quality rules, in four micro-batches, the newest of each id."""
+    logs = log_messages(_shared_sids(tables.logs_from(_in_parts(spark, folder))))
+    return _upserted(spark, jobs.page_views(logs), "page-views", "sid", "ct")
+
+
+def upsert_by_field(spark, folder):
+    """Documents of users, of which an order sets some fields only: each field keeps its newest value."""
+    orders, number = tables.orders_from(_in_parts(spark, folder)), F.col("seq")
+    rows = orders.select(
+        "userID", "ct", "seq", F.when(number % 2 == 0, F.col("fee")).alias("fee"),
+        F.when(number % 3 == 0, F.col("price")).alias("price"), F.when(number % 41 == 0, F.col("traffic")).alias("traffic"),
+    )
+    return _upserted(spark, rows, "by-field", "userID", ["ct", "seq"], merge=True)
+
+
+def dim_bound_snapshots(spark, folder):
+    """Orders widened in four micro-batches, each bound to a snapshot. The dimension is replaced after every
+    micro-batch, then all are replayed: the rows stay as they were."""
+    products, out, batches = base.products(spark, folder), new_folder(spark, "bound"), []
+    log = SnapshotLog(f"{out}/dimension")
+
+    def save(number):
+        log.save(products.withColumn("productType", F.concat(F.lit(f"v{number} "), "productType")))
+
+    def widen(batch, batch_id):
+        wide = lookup.widen_orders(batch, log.bound(batch.sparkSession, batch_id)).select("orderID", "productID", "productType")
+        wide.write.mode("overwrite").parquet(f"{out}/data/_batch={batch_id}")
+
+    def first(batch, batch_id):
+        widen(batch, batch_id)
+        batch.write.parquet(f"{out}/again/{batch_id}")
+        batches.append(batch_id)
+        save(batch_id + 1)
+
+    save(0)
+    writer = tables.orders_from(_in_parts(spark, folder)).writeStream.foreachBatch(first)
+    _finish(writer.option("checkpointLocation", f"{out}/log").trigger(**ONCE).start())
+    for batch_id in batches:
+        widen(spark.read.parquet(f"{out}/again/{batch_id}"), batch_id)
+    return spark.read.parquet(f"{out}/data").drop("_batch")
+
+
+QUERIES = {f.__name__: f for f in (
+    stream_day_renewed, late_region_revisions, stream_count_or_clock, upsert_clicks, upsert_page_views, upsert_by_field,
+    dim_bound_snapshots,
+)}
 
 _CLOCK_OF = "clock_of AS (SELECT p.part, max(q.ct) AS clock FROM (SELECT DISTINCT part FROM parted) p JOIN parted q ON q.part <= p.part GROUP BY p.part)"
 
@@ -95,4 +167,19 @@ FROM told WHERE due AND (changed OR times = 1)""",
     "stream_count_or_clock": f"""WITH {ORDERS_SQL}
 SELECT traffic, count(*) AS orders, CAST(sum(fee) AS BIGINT) AS "totalFee", true AS sizes, true AS "closedOnTick",
   true AS "inOneInterval", true AS "inTheRun", true AS enough FROM orders_d GROUP BY traffic""",
+    "upsert_clicks": f"""WITH {LOGS_SQL},
+clicks AS (SELECT * REPLACE ('s' || (event_id % 100) AS sid) FROM logs WHERE event_type = 'click')
+SELECT {NARROW}, 'P' || k AS "targetId", 'T' || (k % 7) AS "eventTargetType"
+FROM (SELECT * REPLACE (CASE WHEN event_id % 19 <> 0 THEN ct END AS ct) FROM clicks)
+QUALIFY row_number() OVER (PARTITION BY sid ORDER BY ct DESC NULLS LAST) = 1""",
+    "upsert_page_views": f"""WITH {LOGS_SQL},
+views AS (SELECT * REPLACE ('s' || (event_id % 100) AS sid) FROM logs WHERE action IN ('07', '08') AND event_id % 19 <> 0)
+SELECT {NARROW}, "userRegionIP", 'P' || k AS "targetId" FROM views
+QUALIFY row_number() OVER (PARTITION BY sid ORDER BY ct DESC) = 1""",
+    "upsert_by_field": f"""WITH {ORDERS_SQL}
+SELECT "userID", max(ct) AS ct, arg_max(seq, (ct, seq)) AS seq, arg_max(fee, (ct, seq)) FILTER (seq % 2 = 0) AS fee,
+  arg_max(price, (ct, seq)) FILTER (seq % 3 = 0) AS price, arg_max(traffic, (ct, seq)) FILTER (seq % 41 = 0) AS traffic
+FROM orders_d GROUP BY 1""",
+    "dim_bound_snapshots": f"""WITH {WIDE_SQL}, {_parted("wide", "seq")}
+SELECT "orderID", "productID", CASE WHEN "productType" <> '-1' THEN 'v' || part || ' ' ELSE '' END || "productType" AS "productType" FROM parted""",
 }

@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from orderflow.operators import counted, lookup, messages, orders as ops, ranking, windows
+from orderflow.operators import bitmaps, counted, lookup, messages, orders as ops, ranking, windows
 from orderflow.plans import base
-from orderflow.plans.base import HOTELS_SQL, MEMBERS_SQL, ORDERS_SQL, PRODUCTS_SQL, WIDE_SQL
+from orderflow.plans.base import BEYOND_SQL, HOTELS_SQL, MEMBERS_SQL, ORDERS_SQL, PRODUCTS_SQL, WIDE_SQL
+from orderflow.schemas import UNMATCHED_HOTEL, UNMATCHED_ONE_DIM, UNMATCHED_PRODUCT
 
 HOUR = 3_600_000
 DAY = 24 * HOUR
@@ -49,7 +50,40 @@ def order_mwide_two_dims(spark, folder):
 
 
 def order_unmatched(spark, folder):
-    return lookup.unmatched(base.orders(spark, folder), base.products(spark, folder), "productID")
+    return lookup.unmatched(base.orders_beyond(spark, folder), base.products(spark, folder), "productID")
+
+
+def order_wide_unknown(spark, folder):
+    """One dimension: orders of unknown products take its defaults."""
+    wide = lookup.widen_orders(base.orders_beyond(spark, folder), base.products(spark, folder))
+    return wide.select("orderID", "productID", *UNMATCHED_ONE_DIM)
+
+
+def order_mwide_unknown(spark, folder):
+    """Two dimensions: orders of unknown products or hotels take the defaults of each, whole dimensions by a
+    plain join."""
+    dims = base.products(spark, folder), base.hotels(spark, folder)
+    wide = lookup.widen_orders_two(base.orders_beyond(spark, folder), *dims, broadcast_rows=0)
+    return wide.select("orderID", "productID", "pubID", *UNMATCHED_PRODUCT, *UNMATCHED_HOTEL)
+
+
+def sliding_panes(spark, folder):
+    """`sliding_orders` by panes."""
+    return windows.sliding_stats(base.orders(spark, folder), ["traffic"], "2 hours", "1 hour", "1 hour")
+
+
+def bitmap_rollup(spark, folder):
+    """Users per traffic and ten seconds as bitmaps, added up to hours, to days, and to days of all traffic."""
+    orders = base.orders(spark, folder)
+    numbers = bitmaps.numbered(orders, "userID")
+    small = bitmaps.user_bitmaps(orders, numbers, ["traffic"], "userID", 10_000)
+    rows = []
+    for name, keys, size in (("hour", ["traffic"], HOUR), ("day", ["traffic"], DAY), ("all", [], DAY)):
+        users = bitmaps.distinct_users(bitmaps.rolled_up(small, keys, size), keys)
+        if not keys:
+            users = users.withColumn("traffic", F.lit("all"))
+        rows.append(users.select(F.lit(name).alias("kind"), "traffic", "startWindowTime", "users"))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 def order_wide_parse(spark, folder):
@@ -187,6 +221,7 @@ def partition_routing(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     order_detail_parse, order_rejects, order_wide_broadcast, order_mwide_two_dims, order_unmatched,
+    order_wide_unknown, order_mwide_unknown, sliding_panes, bitmap_rollup,
     order_wide_parse, agg_region_traffic_tumbling, agg_product_traffic_tumbling, agg_wide_type_window,
     agg_exact_average, agg_session_traffic, agg_count_window_region, agg_count_window_type,
     stat_running_count_trigger, stat_running_with_tail, stat_day_utc8, stat_count_or_time,
@@ -276,9 +311,20 @@ SELECT "orderID", concat_ws(',', CASE WHEN seq % 97 = 0 THEN 'fee' END, CASE WHE
 FROM orders_d WHERE seq % 97 = 0 OR seq % 89 = 0""",
     "order_wide_broadcast": f"WITH {WIDE_SQL} SELECT {WIDE_FIELDS} FROM wide",
     "order_mwide_two_dims": f'WITH {MWIDE_SQL} SELECT {WIDE_FIELDS}, "pubStar", "pubGrade", "isNational" FROM mwide',
-    "order_unmatched": f"""WITH {ORDERS_SQL},
+    "order_wide_unknown": f"""WITH {BEYOND_SQL},
+{PRODUCTS_SQL}
+SELECT o."orderID", o."productID", coalesce(p."productLevel", -1) AS "productLevel", coalesce(p."productType", '-1') AS "productType",
+  coalesce(p."toursimType", '-1') AS "toursimType", coalesce(p."depCode", '-1') AS "depCode", coalesce(p."desCode", '-1') AS "desCode"
+FROM beyond o LEFT JOIN products p USING ("productID")""",
+    "order_mwide_unknown": f"WITH {MWIDE_SQL.replace(ORDERS_SQL, BEYOND_SQL).replace('FROM orders_d o LEFT JOIN', 'FROM beyond o LEFT JOIN')} "
+    + f"""SELECT "orderID", "productID", "pubID", {", ".join(f'"{c}"' for c in [*UNMATCHED_PRODUCT, *UNMATCHED_HOTEL])} FROM mwide""",
+    "bitmap_rollup": f"""WITH {ORDERS_SQL}
+SELECT 'hour' AS kind, traffic, ct // {HOUR} * {HOUR} AS "startWindowTime", count(DISTINCT "userID") AS users FROM orders_d GROUP BY ALL
+UNION ALL SELECT 'day', traffic, ct // {DAY} * {DAY}, count(DISTINCT "userID") FROM orders_d GROUP BY ALL
+UNION ALL SELECT 'all', 'all', ct // {DAY} * {DAY}, count(DISTINCT "userID") FROM orders_d GROUP BY ALL""",
+    "order_unmatched": f"""WITH {BEYOND_SQL},
 {PRODUCTS_SQL}
-SELECT "productID", count(*) AS orders FROM orders_d
+SELECT "productID", count(*) AS orders FROM beyond
 WHERE "productID" NOT IN (SELECT "productID" FROM products) GROUP BY 1""",
     "order_wide_parse": f"WITH {WIDE_SQL} SELECT {WIDE_FIELDS} FROM wide",
     "agg_region_traffic_tumbling": f"WITH {ORDERS_SQL} " + _window_sql(["userRegion", "traffic"], HOUR),
@@ -334,3 +380,4 @@ FROM orders_d GROUP BY ALL""",
 keyed AS (SELECT CAST(CAST('0x' || substr(md5(md5("productID" || traffic)), 1, 8) AS BIGINT) % 16 AS INTEGER) AS partition FROM orders_d)
 SELECT partition, count(*) AS messages FROM keyed GROUP BY 1""",
 }
+ORACLE["sliding_panes"] = ORACLE["sliding_orders"]

@@ -47,3 +47,10 @@ def stored(rows, name):
     path = new_folder(rows.sparkSession, name)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def cleared(spark, path):
+    """Removes a folder of the shared store, if it is there."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -2,9 +2,11 @@
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from orderflow.schemas import HOTEL_COLUMNS, PRODUCT_COLUMNS
+from orderflow.session import cleared
 
 
 def jdbc_dimension(spark, url, query, user=None, password=None, driver=None, split=None):
@@ -73,3 +75,53 @@ class RefreshingDim:
         if self._rows is None or now - self._read_at >= self._ttl:
             self._rows, self._read_at = self._load(), now
         return self._rows
+
+
+class SnapshotLog:
+    """Numbered snapshots of a dimension, and which one each micro-batch of a run has taken.
+
+    `save` writes a snapshot; `bound` gives the one a batch is bound to. A batch is bound once, before it reads, to
+    the newest snapshot; replayed, it reads the same one again whatever has been saved since. Snapshots
+    and bindings are small folders of the shared store, written whole: a batch that fails between the two leaves
+    nothing half done. One query is bound in a run; runs are told apart by `run`, such as `run_of(checkpoint)`.
+    """
+
+    def __init__(self, path, run="0"):
+        self.path, self.run = path.rstrip("/"), run
+
+    def _numbers(self, spark):
+        try:
+            found = spark.read.parquet(f"{self.path}/numbers").agg(F.max("number")).first()[0]
+        except AnalysisException:  # none has been saved
+            found = None
+        return found
+
+    def save(self, rows):
+        """Writes the rows as the next snapshot and gives its number. One writer at a time."""
+        spark, last = rows.sparkSession, self._numbers(rows.sparkSession)
+        number = 0 if last is None else last + 1
+        rows.write.mode("overwrite").parquet(f"{self.path}/snapshots/{number}")
+        # the number is written after the rows, so a reader never sees a snapshot that is not whole
+        spark.range(1).select(F.lit(number).cast("bigint").alias("number")).write.mode("append").parquet(f"{self.path}/numbers")
+        return number
+
+    def number_of(self, spark, batch_id):
+        """The number of the snapshot that a batch is bound to; the first call binds it."""
+        path = f"{self.path}/run={self.run}/batch={batch_id}"
+        try:
+            return spark.read.schema("number bigint").parquet(path).first()["number"]
+        except (AnalysisException, TypeError):  # not bound, or the binding was cut short
+            newest = self._numbers(spark)
+        if newest is None:
+            raise ValueError("no snapshot has been saved")
+        spark.range(1).select(F.lit(newest).cast("bigint").alias("number")).write.mode("overwrite").parquet(path)
+        return newest
+
+    def bound(self, spark, batch_id):
+        """The dimension as the batch with this id sees it."""
+        return spark.read.parquet(f"{self.path}/snapshots/{self.number_of(spark, batch_id)}")
+
+    def forget(self, spark, before):
+        """Removes the snapshots older than this number; no batch bound to them may be replayed any more."""
+        for number in range(before):
+            cleared(spark, f"{self.path}/snapshots/{number}")

@@ -4,11 +4,13 @@ The step itself is ordinary DataFrame code over (carried rows, new rows), so a k
 of a batch is spread by the same means as in batch queries. Results, carried rows and the clock are
 written under the run, which the checkpoint stands for, and the batch id: a batch that is replayed after a
 failure reads what the batch before it left and overwrites its own output, and a query with another
-checkpoint leaves both alone. Results are those of the run that was started last.
+checkpoint leaves both alone. Batch 0 of a run removes what the folder holds of an earlier run with the same
+checkpoint path, as that one's checkpoint must be gone. Results are those of the run that was started last.
 """
 
 from pyspark.sql import functions as F
 
+from orderflow.session import cleared
 from orderflow.streaming.keyed_table import run_of
 
 # A time after every event: what is still open then is closed.
@@ -31,6 +33,8 @@ class Carry:
     def __call__(self, batch, batch_id, until=None):
         """Takes one batch; `until` puts the clock forward."""
         spark, self.last = batch.sparkSession, batch_id
+        if batch_id == 0:
+            cleared(spark, f"{self.folder}/run={self.run}")
         batch = batch.persist()
         before = None
         carried = spark.createDataFrame([], self.schema)

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from orderflow.operators import orders, lookup
 from orderflow.schemas import ORDER_DETAIL, ORDER_KEYS, ORDER_WIDE, UNMATCHED_ONE_DIM
 from orderflow.sources import dimensions
@@ -113,3 +115,43 @@ def test_wide_parse_reads_has_activity(spark):
     row = orders.parse_wide_orders(lines(spark, wide)).first()
     assert row.hasActivity == "v-has_activity" and row.productLevel == 3
     assert orders.parse_wide_orders(lines(spark, wide)).schema.simpleString() == ORDER_WIDE.simpleString()
+
+
+def product_types(frame):
+    return {r.productID: r.productType for r in frame.collect()}
+
+
+def test_batches_are_bound_to_snapshots(spark, tmp_path):
+    def rows(text):
+        return spark.createDataFrame([("1", text)], "productID string, productType string")
+
+    log = dimensions.SnapshotLog(str(tmp_path / "dim"), "run")
+    with pytest.raises(ValueError):
+        log.bound(spark, 0)
+    assert log.save(rows("old")) == 0
+    assert product_types(log.bound(spark, 0)) == {"1": "old"}
+    assert log.save(rows("new")) == 1
+    again = dimensions.SnapshotLog(str(tmp_path / "dim"), "run")
+    assert product_types(again.bound(spark, 0)) == {"1": "old"}
+    assert product_types(again.bound(spark, 1)) == {"1": "new"}
+    other = dimensions.SnapshotLog(str(tmp_path / "dim"), "other")
+    assert product_types(other.bound(spark, 0)) == {"1": "new"}
+    # a snapshot that was not finished is not seen, and its number is used again
+    rows("broken").write.parquet(str(tmp_path / "dim" / "snapshots" / "2"))
+    assert product_types(again.bound(spark, 2)) == {"1": "new"}
+    assert log.save(rows("newer")) == 2
+    assert product_types(again.bound(spark, 3)) == {"1": "newer"} and product_types(again.bound(spark, 2)) == {"1": "new"}
+    log.forget(spark, 1)
+    assert not (tmp_path / "dim" / "snapshots" / "0").exists() and product_types(again.bound(spark, 1)) == {"1": "new"}
+
+
+def test_unknown_keys_take_the_defaults_of_each_join(spark):
+    orders_two = spark.createDataFrame([("o1", "1", "h1"), ("o2", "9", "h1"), ("o3", "1", "h9"), ("o4", None, None)],
+                                       "orderID string, productID string, pubID string")
+    hotels = spark.createDataFrame([("h1", "5", "A", "1")], "pubID string, pubStar string, pubGrade string, isNational string")
+    for limit in (0, 100):
+        one = {r.orderID: (r.productLevel, r.depCode) for r in lookup.widen_orders(orders_two, dims(spark), broadcast_rows=limit).collect()}
+        assert one == {"o1": (2, "d2"), "o2": (-1, "-1"), "o3": (2, "d2"), "o4": (-1, "-1")}
+        two = lookup.widen_orders_two(orders_two, dims(spark), hotels, broadcast_rows=limit).collect()
+        assert {r.orderID: (r.productLevel, r.depCode, r.pubStar) for r in two} == {
+            "o1": (2, "d2", "5"), "o2": (0, "", "5"), "o3": (2, "d2", ""), "o4": (0, "", "")}

@@ -274,3 +274,59 @@ def test_drain_closes_what_is_open(spark, tmp_path, rows):
     got = carry.results(spark)
     want = counted.count_or_time_stats(batch(spark, rows), ["traffic"], 10, 20_000).select(*got.columns)
     same(got.collect(), want.collect())
+
+
+def test_new_start_with_the_same_checkpoint_path(spark, tmp_path, rows):
+    """What a run has left is not mixed with that of another one started anew at its place."""
+    import shutil
+
+    feed = Feed(spark, tmp_path, thirds(rows, 2))
+    step = CountOrTime(["traffic"], windows.order_measures(), 10, columns=["fee", "adult", "yonger", "baby"])
+    feed.carry(step, feed.stream())
+    shutil.rmtree(feed.log)
+    again = Feed.__new__(Feed)
+    again.spark, again.path, again.n, again.out, again.log = spark, tmp_path / "more", 0, feed.out, feed.log
+    again.path.mkdir()
+    again.add(rows[:60])
+    got = again.carry(step, again.stream()).drop("startWindowTime")
+    want = counted.count_window_stats(batch(spark, rows[:60]), ["traffic"], 10).select(*got.columns)
+    same(got.collect(), want.collect())
+
+
+def test_new_start_of_a_keyed_table(spark, tmp_path):
+    def docs(*rows):
+        return spark.createDataFrame(list(rows), "id string, a int, v int")
+
+    table = KeyedTable(str(tmp_path / "t"), "id", "v")
+    sink, other = table.sink("/log/one"), table.sink("/log/two")
+    sink(docs(("x", 1, 9), ("y", 1, 9)), 0)
+    sink(docs(("x", 2, 10)), 1)
+    other(docs(("z", 3, 1)), 0)
+    sink(docs(("x", 5, 1)), 0)
+    assert {r.id: r.a for r in table.read(spark).collect()} == {"x": 5, "z": 3}
+
+
+def test_fields_keep_their_own_versions(spark, tmp_path):
+    def docs(*rows):
+        return spark.createDataFrame(list(rows), "id string, a int, b int, v int")
+
+    table = KeyedTable(str(tmp_path / "t"), "id", "v")
+    table.write(docs(("x", 1, None, 5), ("x", None, 2, 6)), 0, merge=True)
+    # a row that comes late sets a at 3, in a batch whose newest row is of 9
+    late = docs(("x", 7, None, 3), ("x", None, 8, 9))
+    for _ in range(2):
+        table.write(late, 1, merge=True)
+    assert [tuple(r) for r in table.read(spark, merge=True).collect()] == [("x", 1, 8, 9)]
+    packed = table.compact_to(spark, str(tmp_path / "t2"), merge=True)
+    packed.write(docs(("x", 4, 4, 4)), 0, merge=True)
+    assert [tuple(r) for r in packed.read(spark, merge=True).collect()] == [("x", 1, 8, 9)]
+
+
+def test_sliding_panes_on_a_stream(spark, tmp_path, rows):
+    feed = Feed(spark, tmp_path, [*thirds(rows), [CLOSER], [(*CLOSER[:3], 10**8, *CLOSER[4:])]])
+    sizes = ("20 seconds", "5 seconds", "5 seconds")
+    got = [r for r in feed.append(windows.sliding_stats(feed.stream(), ["traffic"], *sizes)) if r.traffic != "zz"]
+    want = windows.order_window_stats(batch(spark, rows), ["traffic"], "20 seconds", "5 seconds")
+    same(got, want.collect())
+    same(windows.sliding_stats(batch(spark, rows), ["traffic"], "20 seconds", "10 seconds", "2 seconds").collect(),
+         windows.order_window_stats(batch(spark, rows), ["traffic"], "20 seconds", "10 seconds").collect())
