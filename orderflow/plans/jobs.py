@@ -7,15 +7,20 @@ batch to batch. `orderflow.streaming.sinks` has the sinks.
 
 from pyspark.sql import functions as F
 
-from orderflow.operators import counted, logs, lookup, messages, patterns, ranking, windows
+from orderflow.operators import counted, logs, lookup, messages, patterns, ranking, spread, windows
 from orderflow.operators.orders import parse_orders, reject_orders, with_event_time, with_hour
 from orderflow.session import stored
+from orderflow.streaming import sinks
 from orderflow.streaming.carry import Carry
 from orderflow.streaming.landing import with_bucket
-from orderflow.streaming.steps import CountOrTime, CountTriggered, RepeatMatches, TopN
+from orderflow.streaming.steps import CountOrTime, CountTriggered, RenewedTotals, RepeatMatches, TopN, WindowRevisions
+from orderflow.streaming.timers import count_or_clock, timer_state
 
 MINUTE_MS = 60_000
 DELAY_MS = 10_005
+DAY_MS = 24 * 60 * MINUTE_MS
+# Midnight in UTC+8 as an offset from UTC midnight.
+DAY_OFFSET_MS = 16 * 60 * MINUTE_MS
 
 # Operating points of the count jobs.
 TRIGGER_COUNT = 50
@@ -93,6 +98,31 @@ def hourly_stats_by_day(lines, approx=False):
     return rows.withColumn("version", F.get_json_object("value", "$.orders").cast("bigint"))
 
 
+def hourly_stats_renewed_stream(lines, folder, checkpoint, late="10 minutes", late_ms=10 * MINUTE_MS, trigger=None):
+    """Exact statistics per traffic and hour inside UTC+8 days, renewed each minute for the hours that changed;
+    `clock` is the time up to which they count. `late` is how far orders may lag, also as milliseconds."""
+    step = RenewedTotals(["traffic", "hourTime"], DAY_MS, DAY_OFFSET_MS, delay_ms=late_ms)
+    stream = step.with_first_sights(with_hour(with_event_time(_in_order(lines), late=late)))
+    carry = Carry(step, folder, step.carried_schema(stream))
+    return carry.start(stream, checkpoint, trigger or {"processingTime": "1 minute"})
+
+
+def region_stats_corrected_stream(lines, folder, checkpoint, size_ms=10_000, lateness_ms=10_000, delay_ms=5, trigger=None):
+    """Region and traffic statistics as revisions: a result when a window ends, a corrected one for each later change
+    inside the lateness. The greatest `revision` of a window is its current result."""
+    step, orders = WindowRevisions(["userRegion", "traffic"], size_ms, lateness_ms, delay_ms), parse_orders(lines)
+    return Carry(step, folder, step.carried_schema(orders)).start(orders, checkpoint, trigger)
+
+
+def count_or_clock_stats_stream(lines, products, path, checkpoint, size=BATCH_COUNT, interval_ms=BATCH_INTERVAL_MS, trigger=None):
+    """Statistics per product and tourism type for every `size` orders or when the clock reaches the next interval,
+    also on a stream that has gone idle. Appended to files with the document id."""
+    wide = lookup.widen_orders(parse_orders(lines, fields=["productID", "userID", "fee", "ct"]), products)
+    stats = messages.with_id(count_or_clock(wide, ["productType", "toursimType"], size, interval_ms), "type_stats")
+    with timer_state(lines.sparkSession):
+        return sinks.to_files(stats, path, checkpoint, trigger=trigger)
+
+
 def count_triggered_stats(lines, size=TRIGGER_COUNT, period_ms=TRIGGER_PERIOD_MS):
     """Running statistics per traffic and hour at every `size` orders (batch)."""
     orders = with_hour(_in_order(lines, ["traffic", "userID", "fee", "ct"]))
@@ -204,6 +234,13 @@ def behaviour_alerts_stream(lines, folder, checkpoint, low=5, high=50, times=pat
     return Carry(step, folder, step.carried_schema(views)).start(views, checkpoint, trigger)
 
 
+def remote_login_alerts(lines, most=2, within_ms=patterns.WITHIN_MS):
+    """Launches of users seen in more than `most` regions within the time, with the number of regions (batch)."""
+    logins = logs.launches_only(logs.decode_logs(lines))
+    logins = logins.select("sid", "userDevice", "userId", "userRegion", "userRegionIP", "ct")
+    return spread.remote_logins(logins, most, within_ms)
+
+
 def landing_rows(lines):
     """Parsed orders with the hour bucket they land in."""
     return with_bucket(parse_orders(lines))

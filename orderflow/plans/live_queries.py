@@ -11,17 +11,20 @@ from orderflow.operators.windows import DAY_OFFSET_UTC8
 from orderflow.plans import base, jobs
 from orderflow.plans.base import LOGS_SQL, MEMBERS_SQL, ORDERS_SQL, WIDE_SQL
 from orderflow.plans.log_queries import NARROW
+from orderflow.plans.order_queries import ORACLE as ORDER_SQL
 from orderflow.plans.stream_queries import DAY, HOUR, ONCE, _carried, _finish, _in_parts, _in_time, _parted
 from orderflow.session import new_folder
 from orderflow.sources import tables
-from orderflow.sources.dimensions import SnapshotLog
-from orderflow.streaming import sinks
+from orderflow.schemas import UNMATCHED_ONE_DIM
+from orderflow.sources.dimensions import HashedDim, SnapshotLog
+from orderflow.streaming import landing, sinks
 from orderflow.streaming.steps import RenewedTotals, WindowRevisions
 from orderflow.streaming.timers import count_or_clock, timer_state
 
 OFFSET = int(DAY_OFFSET_UTC8.split()[0]) * HOUR
 LATE = 6 * HOUR
 BATCH, TICK = 10, 2_000
+FILE_BYTES = 4_000
 
 
 def stream_day_renewed(spark, folder):
@@ -131,8 +134,37 @@ def dim_bound_snapshots(spark, folder):
     return spark.read.parquet(f"{out}/data").drop("_batch")
 
 
+def landing_by_bytes(spark, folder):
+    """Order messages landed as text day by day, in files filled up to 4 000 bytes: size on disk and lines of each."""
+    out = new_folder(spark, "landing-bytes")
+    orders = with_event_time(tables.orders_from(tables.table(spark, folder, "events")))
+    lines = orders.select(
+        F.to_json(F.struct("orderID", "fee", "traffic")).alias("value"), F.date_format("ts", "yyyyMMdd").alias("bucket"), "seq"
+    )
+    landing.land_packed(lines, out, FILE_BYTES, order=["seq"])
+    rows = spark.read.schema("value string, bucket string, file int").text(out)
+    return rows.groupBy("bucket", "file", "_metadata.file_size").agg(
+        F.count("*").alias("lines"), F.min("value").alias("least"), F.max("value").alias("greatest")
+    ).withColumnRenamed("file_size", "bytes")
+
+
+def hashed_lookup(spark, folder):
+    """Orders of each quarter's micro-batch, unknown products among them, widened from a dimension stored by key."""
+    products, out = base.products(spark, folder), new_folder(spark, "hashed")
+    dim = HashedDim.stored(products, f"{out}/dimension", "productID", 16)
+
+    def widen(batch, batch_id):
+        lost = F.when(F.col("seq") % 7 == 3, F.concat(F.lit("X"), "productID")).otherwise(F.col("productID"))
+        found = dim.lookup(batch.withColumn("productID", lost), UNMATCHED_ONE_DIM)
+        found.select("orderID", "productID", *UNMATCHED_ONE_DIM).write.mode("overwrite").parquet(f"{out}/data/_batch={batch_id}")
+
+    writer = tables.orders_from(_in_parts(spark, folder)).writeStream.foreachBatch(widen)
+    _finish(writer.option("checkpointLocation", f"{out}/log").trigger(**ONCE).start())
+    return spark.read.parquet(f"{out}/data").drop("_batch")
+
+
 QUERIES = {f.__name__: f for f in (
-    stream_day_renewed, late_region_revisions, stream_count_or_clock, upsert_clicks, upsert_page_views, upsert_by_field,
+    landing_by_bytes, hashed_lookup, stream_day_renewed, late_region_revisions, stream_count_or_clock, upsert_clicks, upsert_page_views, upsert_by_field,
     dim_bound_snapshots,
 )}
 
@@ -182,4 +214,11 @@ SELECT "userID", max(ct) AS ct, arg_max(seq, (ct, seq)) AS seq, arg_max(fee, (ct
 FROM orders_d GROUP BY 1""",
     "dim_bound_snapshots": f"""WITH {WIDE_SQL}, {_parted("wide", "seq")}
 SELECT "orderID", "productID", CASE WHEN "productType" <> '-1' THEN 'v' || part || ' ' ELSE '' END || "productType" AS "productType" FROM parted""",
+    "landing_by_bytes": f"""WITH {ORDERS_SQL},
+lines AS (SELECT strftime(make_timestamp(ct * 1000), '%Y%m%d') AS bucket, seq,
+  '{{"orderID":"' || "orderID" || '","fee":' || fee || ',"traffic":"' || traffic || '"}}' AS value FROM orders_d),
+placed AS (SELECT *, strlen(value) + 1 AS size, sum(strlen(value) + 1) OVER (PARTITION BY bucket ORDER BY seq) AS upto FROM lines)
+SELECT bucket, CAST((upto - size) // {FILE_BYTES} AS INTEGER) AS file, CAST(sum(size) AS BIGINT) AS bytes, count(*) AS lines,
+  min(value) AS least, max(value) AS greatest FROM placed GROUP BY 1, 2""",
+    "hashed_lookup": ORDER_SQL["order_wide_unknown"],
 }

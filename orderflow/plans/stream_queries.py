@@ -43,11 +43,12 @@ def _finish(query):
 
 
 class _Closing:
-    """A bounded stream of events that is closed: a row far in the future, in a micro-batch after the
-    `batches` of the events, moves the watermark past every window, so that append-mode statistics give out
-    all they hold. The row's own window stays open."""
+    """A bounded stream of events that is closed: a row far in the future moves the watermark past every window, so
+    that append-mode statistics give out all they hold. The row's own window stays open. It comes along with the events
+    where these are one micro-batch, as late rows are judged by the watermark of the batch before; where they are
+    several (`batches`), it comes after them."""
 
-    def __init__(self, spark, events, batches=1):
+    def __init__(self, spark, events, batches=0):
         self.spark, self.path = spark, new_folder(spark, "closing")
         for _ in range(batches):
             self._add([])

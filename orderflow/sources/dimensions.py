@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from orderflow.schemas import HOTEL_COLUMNS, PRODUCT_COLUMNS
 from orderflow.session import cleared
 
+# Most different keys of a micro-batch that are looked up one by one.
+LOOKUP_KEYS = 500_000
+
 
 def jdbc_dimension(spark, url, query, user=None, password=None, driver=None, split=None):
     """Rows of a SQL query read over JDBC.
@@ -125,3 +128,47 @@ class SnapshotLog:
         """Removes the snapshots older than this number; no batch bound to them may be replayed any more."""
         for number in range(before):
             cleared(spark, f"{self.path}/snapshots/{number}")
+
+
+class HashedDim:
+    """A large dimension stored in folders by a hash of its key, one row per key, for look-ups by micro-batches.
+
+    `lookup` finds which folders the keys of a batch fall in (at most `parts` numbers come to the driver) and reads only
+    these; the rows read are cut down to the batch's keys where they lie, by a broadcast of the keys, so the dimension
+    itself is never shuffled. A batch with more than `most_keys` different keys would send too much: its facts
+    are joined with the folders read by a plain join instead, with the same result.
+    """
+
+    def __init__(self, spark, path, key, parts, schema):
+        self.spark, self.path, self.key, self.parts, self.schema = spark, path, key, parts, schema
+
+    def _part(self):
+        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.parts)).cast("int")
+
+    @classmethod
+    def stored(cls, rows, path, key, parts, version=None):
+        """Writes the dimension, of the rows of a key the newest; rows without a key are left out."""
+        dim = cls(rows.sparkSession, path, key, parts, rows.schema)
+        one = last_per_key(rows.filter(F.col(key).isNotNull()), key, version).select(*rows.columns)
+        placed = one.withColumn("_part", dim._part()).repartition(parts, "_part")
+        placed.write.mode("overwrite").partitionBy("_part").parquet(path)
+        return dim
+
+    def read(self, keys):
+        """The rows in the folders that these keys fall in."""
+        keys = keys.filter(F.col(self.key).isNotNull())
+        numbers = [r[0] for r in keys.select(self._part().alias("p")).distinct().collect()]  # at most `parts`
+        fields = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in self.schema.fields)}, _part int"
+        return self.spark.read.schema(fields).parquet(self.path).filter(F.col("_part").isin(numbers)).drop("_part")
+
+    def lookup(self, facts, defaults, most_keys=LOOKUP_KEYS):
+        """The facts with the attributes named in `defaults`, which unmatched ones take; as many rows as facts."""
+        keys = facts.select(self.key).filter(F.col(self.key).isNotNull()).distinct()
+        found = self.read(keys).select(self.key, *defaults, F.lit(True).alias("_found"))
+        if keys.limit(most_keys + 1).count() <= most_keys:
+            # no more rows than keys are left, so both sides are small enough to be sent
+            found = F.broadcast(found.join(F.broadcast(keys), self.key, "left_semi"))
+        joined = facts.join(found, self.key, "left")
+        kinds = {f.name: f.dataType for f in self.schema.fields}
+        filled = [F.when(F.col("_found"), F.col(c)).otherwise(F.lit(d).cast(kinds[c])).alias(c) for c, d in defaults.items()]
+        return joined.select(*facts.columns, *filled)

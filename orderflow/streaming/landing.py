@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from orderflow.operators.ordered import running_sums, tie_break
+
 # Layout of the hour buckets.
 BUCKET = "yyyyMMddHH"
 
@@ -42,3 +44,31 @@ def compact(spark, path, out, form="parquet", buckets=None, rows_per_file=1_000_
     if buckets is not None:
         rows = rows.filter(F.col("bucket").cast("string").isin(*buckets))
     land(rows, out, form, rows_per_file)
+
+
+def packed_lines(lines, target_bytes, order=()):
+    """Lines (`bucket`, `value`) with the number `file` of the file they go to: the files of an hour are filled one
+    after the other up to about `target_bytes`, counted with line ends. Bytes are summed along the hour over evenly
+    cut slices, so an hour with most of the lines is spread. A line belongs to the file in which it begins, so a file is at most one
+    line longer than the target; null lines are empty. Without `order` lines are placed by their hash."""
+    sized = lines.withColumn("_size", F.octet_length(F.coalesce("value", F.lit(""))) + 1)
+    sized = sized.withColumn("_tie", tie_break(lines))
+    placed = running_sums(sized, ["bucket"], [*order, "_tie"], {"_sum": F.col("_size")})
+    first = F.col("_sum") - F.col("_size")
+    return placed.withColumn("file", F.floor(first / target_bytes).cast("int")).drop("_size", "_sum", "_tie")
+
+
+def land_packed(lines, path, target_bytes=128 << 20, order=()):
+    """Writes lines as text files of about `target_bytes` below their hour, one folder `file=<number>` for each. An
+    hour that is written again is replaced."""
+    placed = packed_lines(lines, target_bytes, order)
+    writer = placed.select("bucket", "file", "value").repartition("bucket", "file").write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "file").text(path)
+
+
+def compact_packed(spark, path, out, target_bytes=128 << 20, buckets=None):
+    """Rewrites landed hours of text lines (all, or the given ones) into files of about `target_bytes`."""
+    rows = spark.read.schema("value string, bucket string").text(path)
+    if buckets is not None:
+        rows = rows.filter(F.col("bucket").isin(*buckets))
+    land_packed(rows, out, target_bytes)

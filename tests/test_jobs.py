@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.operators import logs
+from orderflow.operators import logs, windows
+from orderflow.operators.orders import parse_orders, with_event_time, with_hour
 from orderflow.plans import base, jobs
 from orderflow.plans.job_queries import _lines
 from orderflow.sources.messages import file_lines
@@ -123,3 +124,27 @@ def test_carried_jobs(spark, tmp_path, order_files, log_files, job):
         got = got.select(*want.columns)
         # what is still open at the end of the stream is not in it
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() <= 0.05 * want.count() + 15
+
+
+def test_renewed_statistics(spark, tmp_path, order_files):
+    query = jobs.hourly_stats_renewed_stream(file_lines(spark, order_files), str(tmp_path / "o"), str(tmp_path / "log"), trigger=ONCE)
+    query.awaitTermination()
+    got = results_of(spark, str(tmp_path / "o"), str(tmp_path / "log"))
+    want = windows.hourly_day_stats(with_hour(with_event_time(parse_orders(file_lines(spark, order_files, streaming=False)))))
+    columns = ["traffic", "startWindowTime", "endWindowTime", "orders", "users", "totalFee"]
+    same(got.select(*columns).collect(), want.select(*columns).collect())
+
+
+def test_corrected_statistics(spark, tmp_path, order_files):
+    query = jobs.region_stats_corrected_stream(
+        file_lines(spark, order_files), str(tmp_path / "o"), str(tmp_path / "log"), size_ms=HOUR, trigger=ONCE)
+    query.awaitTermination()
+    got = results_of(spark, str(tmp_path / "o"), str(tmp_path / "log"))
+    want = windows.region_traffic_stats(with_event_time(parse_orders(file_lines(spark, order_files, streaming=False))), "1 hour")
+    last = want.agg(F.max("endWindowTime")).first()[0]
+    same(got.drop("revision").collect(), want.filter(F.col("endWindowTime") < last).select(*got.drop("revision").columns).collect())
+
+
+def test_remote_logins(spark, log_files):
+    found = jobs.remote_login_alerts(file_lines(spark, log_files, streaming=False), most=0, within_ms=HOUR)
+    assert found.count() == logs.launches_only(logs.decode_logs(file_lines(spark, log_files, streaming=False))).count()

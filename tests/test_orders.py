@@ -155,3 +155,23 @@ def test_unknown_keys_take_the_defaults_of_each_join(spark):
         two = lookup.widen_orders_two(orders_two, dims(spark), hotels, broadcast_rows=limit).collect()
         assert {r.orderID: (r.productLevel, r.depCode, r.pubStar) for r in two} == {
             "o1": (2, "d2", "5"), "o2": (0, "", "5"), "o3": (2, "d2", ""), "o4": (0, "", "")}
+
+
+def test_lookup_in_folders_by_key(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("cast(id AS string) AS productID", "concat('t', id) AS productType", "cast(id AS int) AS productLevel")
+    again = spark.createDataFrame([("5", "t0", -1), (None, "x", 0)], "productID string, productType string, productLevel int")
+    dim = dimensions.HashedDim.stored(rows.unionByName(again), str(tmp_path / "dim"), "productID", 32, version="productLevel")
+    facts = spark.createDataFrame([(i, str(5 if i % 3 else 7) if i % 10 else None) for i in range(300)] + [(999, "no")], "n int, productID string")
+    defaults = {"productType": "-1", "productLevel": -1}
+    want = sorted((r.n, r.productID, f"t{r.productID}" if r.productID in ("5", "7") else "-1",
+                   int(r.productID) if r.productID in ("5", "7") else -1) for r in facts.collect() if r.productID)
+    for most in (0, 100):
+        got = dim.lookup(facts, defaults, most_keys=most)
+        assert sorted(tuple(r) for r in got.collect() if r.productID) == want
+        assert {tuple(r)[2:] for r in got.collect() if not r.productID} == {("-1", -1)} and got.count() == facts.count()
+    plan = dim.lookup(facts, defaults)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in text and "hashpartitioning(productID" not in text.split("BroadcastExchange")[0]
+    # two known keys and one unknown
+    assert dim.read(facts.select("productID")).select("_metadata.file_path").distinct().count() <= 3
+    assert dim.lookup(facts.limit(0), defaults).collect() == []

@@ -330,3 +330,24 @@ def test_sliding_panes_on_a_stream(spark, tmp_path, rows):
     same(got, want.collect())
     same(windows.sliding_stats(batch(spark, rows), ["traffic"], "20 seconds", "10 seconds", "2 seconds").collect(),
          windows.order_window_stats(batch(spark, rows), ["traffic"], "20 seconds", "10 seconds").collect())
+
+
+def test_files_filled_to_a_size(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [("2024010100" if i % 5 else "2024010101", "x" * rng.randrange(0, 60) + str(i), i) for i in range(2000)]
+    rows += [("2024010102", None, 5000), ("2024010102", "é" * 30, 5001)]
+    lines = spark.createDataFrame(rows, "bucket string, value string, seq int").repartition(4)
+    landing.land_packed(lines, str(tmp_path / "out"), 1000, order=["seq"])
+    landing.land_packed(lines.filter("bucket = '2024010101'"), str(tmp_path / "out"), 1000, order=["seq"])
+    got = spark.read.schema("value string, bucket string, file int").text(str(tmp_path / "out"))
+    same([tuple(r) for r in got.select("bucket", "value").collect()], [(b, v or "") for b, v, _ in rows])
+    sizes = got.groupBy("bucket", "file", "_metadata.file_size", "_metadata.file_path").count().collect()
+    assert len(sizes) == len({(r["bucket"], r["file"]) for r in sizes})
+    last = {}
+    for r in sizes:
+        last[r["bucket"]] = max(last.get(r["bucket"], 0), r["file"])
+    assert last["2024010100"] > 20
+    assert all(900 <= r["file_size"] <= 1100 for r in sizes if r["file"] < last[r["bucket"]])
+    landing.compact_packed(spark, str(tmp_path / "out"), str(tmp_path / "more"), 10_000)
+    again = spark.read.schema("value string, bucket string, file int").text(str(tmp_path / "more"))
+    same(again.select("bucket", "value").collect(), got.select("bucket", "value").collect())
