@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import functions as F
 
 from orderflow.llm.bytewords import pieces
-from orderflow.llm.common import filled
+from orderflow.llm.common import filled, freed
 
 # Fields and kinds of the model's wire format.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -140,7 +140,7 @@ def encoded(docs, ranks, pattern, id="doc_id", text="text"):
 
     rows = docs.select(F.col(id).alias("doc_id"), filled(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"doc_id {kind}, n_tokens bigint, ids binary")
+    return rows.mapInArrow(freed(work), f"doc_id {kind}, n_tokens bigint, ids binary")
 
 
 def decoded(ids, ranks, pattern):

@@ -1,8 +1,10 @@
 """What several operators of this subpackage share."""
 
+import ctypes
 import os
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from orderflow.session import new_folder
@@ -54,3 +56,19 @@ def text_list(values):
 def remainder_of_id(ids, by):
     """crc32 of the id as text, modulo `by`; null ids count as the empty text."""
     return F.crc32(F.coalesce(ids.cast("string"), F.lit("")).cast("binary")) % by
+
+
+def freed(work):
+    """A function of record batches that gives memory back to the machine when a task ends: worker processes
+    live on and would keep the most that any task took."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the usual C library only
+            if trim:
+                trim(0)
+
+    return run

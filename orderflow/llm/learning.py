@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.llm.bytewords import SMALL, pieces
-from orderflow.llm.common import filled, remainder_of_id
+from orderflow.llm.common import filled, freed, remainder_of_id
 
 _SLOTS = 1_000_000
 
@@ -66,4 +66,4 @@ def scored(docs, score, name, keep, text="text"):
                 yield pa.RecordBatch.from_arrays([*kept, values], names=[*keep, name])
 
     fields = [docs.schema[c] for c in keep]
-    return rows.mapInArrow(run, T.StructType([*fields, T.StructField(name, T.DoubleType())]))
+    return rows.mapInArrow(freed(run), T.StructType([*fields, T.StructField(name, T.DoubleType())]))

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from orderflow.llm.bytewords import hashes, mixed, pieces, spans, utf8
+from orderflow.llm.common import freed
 from orderflow.llm.learning import fit_logistic, scored, sigmoid, training_rows
 
 TRAIN_ROWS = 4_000  # about as many labelled texts, by a hash of the id
@@ -197,7 +198,7 @@ def train(docs, labels, split=4, held_out=2, most=TRAIN_ROWS, id="doc_id", text=
     """A model fitted on the driver from the line features of about `most` labelled texts."""
     rows = training_rows(docs, labels, label, split, held_out, most, id, text)
     kinds = "slot long, line long, label long, size double" + "".join(f", x{k} double" for k in range(_FEATURES))
-    sample = rows.select("text", F.col("label").cast("long"), F.col("slot").cast("long")).mapInArrow(_measured, kinds)
+    sample = rows.select("text", F.col("label").cast("long"), F.col("slot").cast("long")).mapInArrow(freed(_measured), kinds)
     found = sample.toPandas()
     if not len(found) or found["label"].nunique() < 2:
         return LineModel(np.zeros(3 * _FEATURES + 3 + 4))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from orderflow.llm.bytewords import hashes, mixed, pieces, spans, utf8
-from orderflow.llm.common import filled, written
+from orderflow.llm.common import filled, freed, written
 from orderflow.llm.components import components
 
 RUN = 5
@@ -102,7 +102,7 @@ def signed(docs, depth, id="doc_id", text="text"):
                 yield pa.RecordBatch.from_pydict(columns | {"keys": pa.array(keys, pa.list_(pa.int64()))})
 
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), filled(text).alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, print binary, keys array<long>")
+    return rows.mapInArrow(freed(sign), "doc_id long, print binary, keys array<long>")
 
 
 def grouped(representatives):
@@ -206,7 +206,7 @@ def verified(docs, members, similarity=SIMILARITY, block=BLOCK):
     members = members.join(sizes, "component")
     rows = docs.join(members.hint("shuffle_hash"), docs["doc_id"] == members["node"])
     sets = rows.select("component", "node", "blocks", "copies", "text").mapInArrow(
-        _sets, "component long, node long, blocks long, copies long, runs binary"
+        freed(_sets), "component long, node long, blocks long, copies long, runs binary"
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     sets = written(sets.withColumn("block", own), "sets")
@@ -217,7 +217,7 @@ def verified(docs, members, similarity=SIMILARITY, block=BLOCK):
     )
     # ranges deal the pairs of blocks out evenly; a pair of blocks is never split
     pairs = pairs.repartitionByRange("component", "low", "high").sortWithinPartitions("component", "low", "high", "node")
-    return written(pairs.mapInArrow(_verifier(similarity), "node long, links long, root long"), "links")
+    return written(pairs.mapInArrow(freed(_verifier(similarity)), "node long, links long, root long"), "links")
 
 
 def near_duplicates(docs, id="doc_id", text="text", similarity=SIMILARITY, depths=DEPTHS, target=TARGET, block=BLOCK):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflow.llm.bytewords import mixed, pieces
-from orderflow.llm.common import filled
+from orderflow.llm.common import filled, freed
 from orderflow.llm.learning import scored
 
 Q = 10
@@ -219,7 +219,7 @@ def leaks(docs, benchmark, id="doc_id", text="text", q=Q, budget=BUDGET, most=BL
                             names=_KINDS.names,
                         )
 
-        part = rows.mapInArrow(run, _KINDS)
+        part = rows.mapInArrow(freed(run), _KINDS)
         found = part if found is None else found.unionByName(part)
     return found
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from orderflow.llm.bytewords import gather, hashes, pieces, spans, utf8
-from orderflow.llm.common import BLANKS, filled, written
+from orderflow.llm.common import BLANKS, filled, freed, written
 
 MAGIC = b"RPG1"
 END_ID = 2
@@ -318,7 +318,7 @@ def encoded(docs, tokenizer, id="doc_id", text="text", end_id=END_ID, shard_ids=
 
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), filled(text).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return rows.mapInArrow(write, SHARD_SCHEMA)
+    return rows.mapInArrow(freed(write), SHARD_SCHEMA)
 
 
 def decoded(shards):
@@ -347,7 +347,7 @@ def decoded(shards):
     placed = shards.join(F.broadcast(parts), F.col("part") == F.col("p")).select(
         (F.col("before") + F.col("part_start")).alias("start"), "data"
     )
-    return placed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.mapInArrow(freed(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def stored(docs, tokenizer, **options):
