@@ -46,7 +46,7 @@ def stream_count_or_clock(spark, folder):
     batches = count_or_clock(tables.orders_from(_in_parts(spark, folder)), ["traffic"], BATCH, TICK)
     out, begun = new_folder(spark, "clock-batches"), time.time()
     wanted = tables.table(spark, folder, "events").count()
-    with timer_state(spark):
+    with timer_state(spark, partitions=8):
         query = sinks.to_files(batches, f"{out}/data", f"{out}/log", trigger={"processingTime": "500 milliseconds"})
     try:
         while True:

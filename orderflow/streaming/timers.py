@@ -34,17 +34,18 @@ OPEN = "start long, end long, orders long, totalFee long, users array<string>"
 
 
 @contextmanager
-def timer_state(spark):
-    """Queries started inside keep their state in the store that timers need; other queries stay as they are."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKS)
+def timer_state(spark, partitions=None):
+    """Queries started inside keep their state in the store that timers need, in so many partitions (by default
+    as many as a shuffle has); other queries stay as they are."""
+    wanted = {PROVIDER: ROCKS} | ({"spark.sql.shuffle.partitions": str(partitions)} if partitions else {})
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def whole_batches(rows, keys, size):

@@ -148,3 +148,18 @@ def test_corrected_statistics(spark, tmp_path, order_files):
 def test_remote_logins(spark, log_files):
     found = jobs.remote_login_alerts(file_lines(spark, log_files, streaming=False), most=0, within_ms=HOUR)
     assert found.count() == logs.launches_only(logs.decode_logs(file_lines(spark, log_files, streaming=False))).count()
+
+
+def test_batches_closed_by_the_clock(spark, tmp_path, order_files):
+    import time
+
+    query = jobs.count_or_clock_stats_stream(
+        file_lines(spark, order_files), base.products(spark, FOLDER), str(tmp_path / "o"), str(tmp_path / "log"),
+        interval_ms=2_000, trigger={"processingTime": "500 milliseconds"})
+    wanted, deadline, got = file_lines(spark, order_files, streaming=False).count(), time.time() + 120, []
+    while sum(r.orders for r in got) < wanted and time.time() < deadline and not query.exception():
+        time.sleep(1)
+        got = spark.read.parquet(str(tmp_path / "o")).collect() if any(p["numInputRows"] for p in query.recentProgress) else []
+    query.stop()
+    assert query.exception() is None and sum(r.orders for r in got) == wanted
+    assert all(r.id == f"{r.productType}_{r.toursimType}" and r.orders <= jobs.BATCH_COUNT for r in got)
