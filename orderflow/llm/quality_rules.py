@@ -6,7 +6,7 @@ judged each for itself; columns other than id and text are not read, so their na
 
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import blank_words, filled, text_list
+from orderflow.llm.common import blank_words, filled
 
 # The symbols counted, and words that running text of each language holds.
 SYMBOLS = "#*$%&|<>"
@@ -66,7 +66,7 @@ def measured(docs, id="doc_id", text="text"):
         "doc_id", "n_symbols", "word_chars",
         F.size("words").cast("bigint").alias("n_words"),
         F.slice("h", F.lit(1), F.greatest(F.size("words") - (WINDOW - 1), F.lit(0))).alias("windows"),
-        F.size(F.array_intersect("words", text_list(STOP_WORDS))).alias("n_stop"),
+        F.size(F.filter("words", lambda w: w.isin(STOP_WORDS))).alias("n_stop"),
         F.filter("lines", lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0).alias("lines"),
     )
     rows = rows.select(
@@ -98,8 +98,8 @@ def judged(docs, id="doc_id", text="text", rules=RULES, base=BASE):
         "repeat_ratio": _ratio(F.col("n_repeat_words"), n),
         "mean_word_chars": _ratio(F.col("word_chars"), n),
         "symbol_ratio": _ratio(F.col("n_symbols"), n),
-        # different stop words for 100 words; shorter texts may do without
-        "stop_ratio": F.when(n >= 100, F.col("n_stop") / 100).otherwise(F.lit(1.0)),
+        # the share of stop words among all words; texts under 100 words may do without
+        "stop_ratio": F.when(n >= 100, F.col("n_stop") / n).otherwise(F.lit(1.0)),
         "dup_line_ratio": _ratio(F.col("n_dup_lines"), lines),
         "cut_line_ratio": _ratio(F.col("n_cut"), lines),
         "bullet_ratio": _ratio(F.col("n_bullets"), lines),

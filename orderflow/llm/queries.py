@@ -173,14 +173,14 @@ m AS (
   SELECT doc_id, len(ws)::BIGINT AS n_words, length(solid)::BIGINT AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
     (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
-    len(list_intersect(list_distinct(ws), [{_texts(STOP_WORDS)}])) AS n_stop, len(ls) AS n_lines,
+    len(list_filter(ws, lambda x: x IN ({_texts(dict.fromkeys(STOP_WORDS))}))) AS n_stop, len(ls) AS n_lines,
     len(list_filter(ls, lambda x: rtrim(x, ' ') LIKE '%...' OR rtrim(x, ' ') LIKE '%…')) AS n_cut,
     len(list_filter(ls, lambda x: ltrim(x, ' ')[1] IN ('-', '*', '•'))) AS n_bullets
   FROM w LEFT JOIN covered c USING (r)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND word_chars >= 1.5 * n_words AND word_chars <= 15 * n_words AND 5 * n_symbols <= n_words
-    AND (n_words < 100 OR n_stop >= 2) AND 2 * n_dup_lines <= n_lines AND 2 * n_cut <= n_lines
+    AND (n_words < 100 OR 50 * n_stop >= n_words) AND 2 * n_dup_lines <= n_lines AND 2 * n_cut <= n_lines
     AND 10 * n_bullets <= 9 * n_lines AS kept
 FROM b""",
     "op11_fill_middle": rf"""
@@ -202,7 +202,8 @@ SELECT doc_id, len(us)::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length
 FROM p""",
     "op13_filter_audit": r"""
 WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
-w AS (SELECT *, regexp_extract_all(t, '[^ 	-]+') AS ws FROM d),
+w AS (SELECT *, regexp_extract_all(t, '[^ 	-
+]+') AS ws FROM d),
 known AS (SELECT doc_id, max(CAST(coalesce(quality = 1, false) AS INT)) AS good, max(CAST(coalesce(toxic = 1, false) AS INT)) AS toxic
   FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
 m AS (

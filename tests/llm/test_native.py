@@ -69,3 +69,15 @@ def test_wrapped_statements_are_found(spark, width, before, mark):
     for k, (label, _) in enumerate(license_scan.TEMPLATES):
         assert label in got[k]["labels"].split(",") and got[k]["score"] == 1.0
     assert got[99]["labels"] == ""
+
+
+def test_stop_words_are_a_share_of_all_words(spark):
+    fill = [" ".join(f"{a}{k}" for k in range(25_000)) for a in "wv"]
+    texts = {1: f"the {fill[0]} of {fill[1]}", 2: ("the of and " + "w " * 97).replace("w ", "unlike "), 3: "the " + "alpha beta " * 10,
+             4: " ".join(f"{'the' if k % 50 == 0 else 'w' + str(k)}" for k in range(100)),
+             5: " ".join(f"{'the' if k % 51 == 0 else 'w' + str(k)}" for k in range(153))}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality_rules.judged(docs).collect()}
+    # two in 50 000 and three in 153 are too few, two in 100 are enough; a short text may have any share
+    assert kept[1] == (False, False) and kept[4] == (False, True) and kept[5] == (False, False)
+    assert kept[2][0] and kept[3][0]
