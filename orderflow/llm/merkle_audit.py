@@ -31,6 +31,11 @@ def warc_record(uri, body):
     return F.concat(head, F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
+def _over(node, size):
+    """The number of the stretch of `size` ids that an id is in, in whole numbers."""
+    return F.call_function("div", node - F.pmod(node, F.lit(size)), F.lit(size))
+
+
 def leaves(records, id, payload):
     """One row per id: hash, records and bytes."""
     rows = records.select(
@@ -51,7 +56,7 @@ def leaves(records, id, payload):
 def parents(level):
     """The next level: at most FANOUT children each."""
     children = F.sort_array(F.collect_list(F.struct("node", "hash", "records", "bytes")))
-    return level.groupBy(F.floor(F.col("node") / FANOUT).cast("bigint").alias("node")).agg(
+    return level.groupBy(_over(F.col("node"), FANOUT).alias("node")).agg(
         F.sha2(F.to_json(children), 256).alias("hash"), F.sum("records").alias("records"), F.sum("bytes").alias("bytes")
     )
 
@@ -90,10 +95,10 @@ def audit(first, second, id, payload):
     found = written(_differing(one.level(height), other.level(height)), "differing")
     for k in range(height - 1, -1, -1):
         above = found.select(F.col("node").alias("up"))
-        below = [t.level(k).join(above, F.floor(F.col("node") / FANOUT).cast("bigint") == F.col("up"), "left_semi")
+        below = [t.level(k).join(above, _over(F.col("node"), FANOUT) == F.col("up"), "left_semi")
                  for t in (one, other)]
         found = written(_differing(*below), "differing")
-    file = F.when(F.col("node") != _NONE, F.floor(F.col("node") / FILE_SPAN).cast("bigint"))
+    file = F.when(F.col("node") != _NONE, _over(F.col("node"), FILE_SPAN))
     found = found.withColumn("file", file)
     files = found.select(F.col("file").alias("f")).distinct()
     placed = one.level(0).withColumn("file", file).join(files, F.col("file") == F.col("f"), "left_semi")

@@ -44,6 +44,13 @@ def test_finds_every_difference(spark):
     assert found(one, one.repartition(5)) == set()
 
 
+def test_ids_that_no_double_holds(spark):
+    first = [(k, f"body {k}") for at in (2**60, -(2**60), 2**63 - 9000) for k in range(at + 4090, at + 4100)]
+    second = [(k, "broken" if k % 4096 in (4090, 4095, 0) else b) for k, b in first]
+    one, other = replicas(spark, first, second)
+    assert found(one, other) == brute(first, second)
+
+
 def test_empty_replicas(spark):
     one, none = replicas(spark, [(1, "a"), (2, None)], [])
     assert found(none, none) == set()
