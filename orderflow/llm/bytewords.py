@@ -83,3 +83,33 @@ def gather(flat, begins, sizes):
     at = np.concatenate(([0], np.cumsum(sizes)))
     where = np.repeat(begins - at[:-1], sizes) + np.arange(at[-1])
     return flat[where], at
+
+
+def eights(data):
+    """The eight bytes from each place of the data on as one number; zeros follow the end."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
+def word_keys(data, starts, ends):
+    """A key of each span: its bytes and length where these are at most seven, so that different spans have
+    different keys; a hash with the highest bit set for longer ones."""
+    sizes = ends - starts
+    short = np.minimum(sizes, 7).astype(np.uint64)
+    masks = (np.uint64(1) << (short * np.uint64(8))) - np.uint64(1)
+    exact = (eights(data)[starts] & masks) | (short << np.uint64(56))
+    return np.where(sizes < 8, exact, hashes(data, starts, ends) | np.uint64(1 << 63))
+
+
+def all_same(data, starts, sizes, other, places, lengths):
+    """Whether every span of eight bytes or more holds the bytes of the span of `other` beside it."""
+    long = np.flatnonzero(sizes >= 8)
+    starts, sizes, places = starts[long], sizes[long], places[long]
+    if not np.array_equal(sizes, lengths[long]):
+        return False
+    here, there = eights(data), eights(other)
+    if not np.array_equal(here[starts], there[places]) or not np.array_equal(here[starts + sizes - 8], there[places + sizes - 8]):
+        return False
+    more = sizes > 16
+    found, _ = gather(data, starts[more] + 8, sizes[more] - 16)
+    return np.array_equal(found, gather(other, places[more] + 8, sizes[more] - 16)[0])

@@ -4,12 +4,15 @@ Words are runs of letters, digits and characters beyond ASCII, A-Z in lower case
 runs of five words (a text of fewer words has one run with all of them). Two texts are linked when the
 Jaccard similarity of their sets is 0.8 or more; texts with equal words are copies and linked.
 
-Each of the trees sorts the texts by a sequence of MinHash values. Texts with a common prefix are candidates,
-and links are verified exactly. Prefixes are so short that a pair just at the threshold meets with the target
-chance, more similar ones with a greater: that holds for each pair, whatever else is in the table.
+Each of the trees is a trie of sequences of MinHash values: a text lies under the prefixes of its sequence, and texts
+under one node are candidates. The search begins with the longest prefixes, which bring the most similar texts together,
+and verifies these exactly. Then the prefixes are shortened by one value: only nodes that bring different groups together
+are looked at, and only pairs from different groups are compared. It ends at the depth at which a pair just at the
+threshold meets with the target chance, more similar ones with a greater: that holds for each pair, whatever else
+is in the table, so a large group cannot end the search for others.
 
 Copies are folded into one representative (the least id) before anything is compared. Candidates form
-groups (components of the prefix buckets); a group is cut into blocks, and a task compares two blocks, so
+groups (components of the nodes they share); a group is cut into blocks, and a task compares two blocks, so
 neither pairs nor whole groups are ever rows or one task's input. No link inside a group is left out.
 
 Defined results: a null or wordless text has no links and a class of its own; a row without id has no class
@@ -50,9 +53,12 @@ def chance(similarity, depth, trees=TREES):
     return 1 - (1 - similarity**depth) ** trees
 
 
-def fitting(similarity=SIMILARITY, depths=DEPTHS, target=TARGET):
-    """The greatest depth at which a pair of just this similarity meets with the target chance, else the least."""
-    return next((d for d in sorted(depths, reverse=True) if chance(similarity, d) >= target), min(depths))
+def ladder(similarity=SIMILARITY, depths=DEPTHS, target=TARGET):
+    """The depths of the search, longest prefixes first, down to the first at which a pair of just this similarity meets
+    with the target chance (to the last one where none does)."""
+    tried = sorted(depths, reverse=True)
+    enough = [chance(similarity, depth) >= target for depth in tried]
+    return tried[: enough.index(True) + 1] if any(enough) else tried
 
 
 def shingles(column):
@@ -73,43 +79,64 @@ def shingles(column):
     return words, first, mixed(runs[keep]), before[first]
 
 
-def _forest(runs, first, depth):
-    """The keys of all trees of the rows, which have a run each."""
-    least = [np.minimum.reduceat((runs ^ f) * a, first[:-1]) for f, a in zip(_FLIPS[: TREES * depth], _FACTORS)]
-    least = np.stack(least, axis=1).reshape(len(first) - 1, TREES, depth)
-    keys = np.broadcast_to(mixed(np.arange(TREES, dtype=np.uint64) * SHIFT), least.shape[:2])
-    for k in range(depth):
-        keys = mixed(keys + least[:, :, k] * SHIFT)
-    return keys.view(np.int64)
-
-
-def signed(docs, depth, id="doc_id", text="text"):
-    """Per row its id, the fingerprint of its words, and the keys of the trees."""
+def _prints(column):
+    """A 128-bit digest of each row's words, a space apart; null without words."""
+    data, offsets = utf8(column)
+    data = _LOWER[data]
+    inside = _WORD[data]
+    ends = np.concatenate((inside[:-1] & ~inside[1:], [False])) if len(data) else inside
+    last = offsets[1:][offsets[1:] > offsets[:-1]] - 1
+    ends[last] = False
+    keep = inside.copy()
+    keep[1:] |= ends[:-1]  # the first sign after a word stands for all up to the next
+    at = np.concatenate(([0], np.cumsum(keep)))[offsets]
+    flat = np.where(inside, data, 32).astype(np.uint8)[keep].tobytes()
+    words = [flat[a:b].rstrip() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+    return [hashlib.blake2b(w, digest_size=16).digest() if w else None for w in words]
+
+
+def _forest(runs, first, depths):
+    """For each depth the nodes of all trees that the rows, which have a run each, lie under."""
+    longest = max(depths)
+    least = [np.minimum.reduceat((runs ^ f) * a, first[:-1]) for f, a in zip(_FLIPS[: TREES * longest], _FACTORS)]
+    least = np.stack(least, axis=1).reshape(len(first) - 1, TREES, longest)
+    nodes, out = np.broadcast_to(mixed(np.arange(TREES, dtype=np.uint64) * SHIFT), least.shape[:2]), {}
+    for depth in range(1, longest + 1):
+        nodes = mixed(nodes + least[:, :, depth - 1] * SHIFT)
+        if depth in depths:
+            out[depth] = nodes.view(np.int64)
+    return out
+
+
+def signed(docs, depths, id="doc_id", text="text"):
+    """Per row its id, the fingerprint of its words, and for each depth the nodes it lies under, one for each tree."""
 
     def sign(batches):
         for batch in batches:
             for piece in pieces(batch, 1):
-                words, first, runs, run_first = shingles(piece.column(1))
+                _, first, runs, run_first = shingles(piece.column(1))
                 full = np.flatnonzero(np.diff(first) > 0)
-                prints, keys = [None] * piece.num_rows, [None] * piece.num_rows
+                nodes = {d: [None] * piece.num_rows for d in depths}
                 if len(full):
-                    found = _forest(runs, np.append(run_first[full], run_first[-1]), depth)
-                    for n, k in enumerate(full.tolist()):
-                        part = words[first[k] : first[k + 1]].tobytes()
-                        prints[k] = hashlib.blake2b(part, digest_size=16).digest()
-                        keys[k] = found[n]
-                columns = {"doc_id": piece.column(0), "print": pa.array(prints, pa.binary())}
-                yield pa.RecordBatch.from_pydict(columns | {"keys": pa.array(keys, pa.list_(pa.int64()))})
+                    found = _forest(runs, np.append(run_first[full], run_first[-1]), depths)
+                    for d in depths:
+                        for n, k in enumerate(full.tolist()):
+                            nodes[d][k] = found[d][n]
+                columns = {"doc_id": piece.column(0), "print": pa.array(_prints(piece.column(1)), pa.binary())}
+                columns |= {f"nodes_{d}": pa.array(nodes[d], pa.list_(pa.int64())) for d in depths}
+                yield pa.RecordBatch.from_pydict(columns)
 
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), filled(text).alias("text"))
-    return rows.mapInArrow(freed(sign), "doc_id long, print binary, keys array<long>")
+    kinds = "".join(f", nodes_{d} array<long>" for d in depths)
+    return rows.mapInArrow(freed(sign), "doc_id long, print binary" + kinds)
 
 
-def grouped(representatives):
-    """Representatives that share a prefix, directly or over others: `node` and `component`."""
-    keyed = representatives.select("rep", F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("rep").alias("root"), F.count("rep").alias("n")).where("n > 1")
-    edges = keyed.join(buckets.select("key", "root"), "key").select(F.col("rep").alias("a"), F.col("root").alias("b"))
+def brought_together(placed):
+    """Groups that share a node, directly or over others: `node` (the group's number) and `component`. `placed` has
+    `part`, the group a text is in so far, and `nodes`."""
+    under = placed.select("part", F.explode("nodes").alias("key"))
+    mixed_nodes = under.groupBy("key").agg(F.min("part").alias("root"), F.max("part").alias("top")).where("root < top")
+    edges = under.join(mixed_nodes.select("key", "root"), "key").select(F.col("part").alias("a"), F.col("root").alias("b"))
     return components(edges)
 
 
@@ -121,8 +148,8 @@ def _sets(batches):
             _, _, runs, first = shingles(piece.column(at))
             sets = [np.unique(runs[a:b]).tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [*[piece.column(k) for k in range(4)], pa.array(sets, pa.binary())],
-                names=["component", "node", "blocks", "copies", "runs"],
+                [*[piece.column(k) for k in range(5)], pa.array(sets, pa.binary())],
+                names=["component", "node", "part", "blocks", "copies", "runs"],
             )
 
 
@@ -146,14 +173,14 @@ def _common(sets):
     return total
 
 
-def _compared(nodes, blocks, copies, sets, cross, similarity):
-    """Links inside one block, or across two: (node, links with copies, least node reached)."""
+def _compared(nodes, parts, blocks, copies, sets, cross, similarity):
+    """Links between different parts inside one block, or across two: (node, links with copies, least node
+    reached)."""
     common = _common(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.float64)
     union = sizes[:, None] + sizes[None, :] - common
     alike = common / np.maximum(union, 1)
-    linked = alike >= similarity - 1e-9
-    np.fill_diagonal(linked, False)
+    linked = (alike >= similarity - 1e-9) & (parts[:, None] != parts[None, :])
     if cross:
         linked &= blocks[:, None] != blocks[None, :]
     roots = nodes.copy()
@@ -174,11 +201,12 @@ def _verifier(similarity):
         def flush():
             unique = {row["node"]: row for row in held}.values()
             nodes = np.array([r["node"] for r in unique], dtype=np.int64)
+            parts = np.array([r["part"] for r in unique], dtype=np.int64)
             blocks = np.array([r["block"] for r in unique], dtype=np.int64)
             copies = np.array([r["copies"] for r in unique], dtype=np.int64)
             sets = [np.frombuffer(r["runs"], dtype=np.uint64) for r in unique]
             cross = held_key[1] != held_key[2]
-            return _compared(nodes, blocks, copies, sets, cross, similarity)
+            return _compared(nodes, parts, blocks, copies, sets, cross, similarity)
 
         ready = []
         for batch in batches:
@@ -201,19 +229,20 @@ def _verifier(similarity):
 
 
 def verified(docs, members, similarity=SIMILARITY, block=BLOCK):
-    """Links of the members (component, node, copies): one row per node and pair of blocks it is in."""
+    """Links of the members (component, node, part, copies) that are in one component and in different parts: one row
+    per node and pair of blocks it is in."""
     sizes = members.groupBy("component").agg(F.ceil(F.count("node") / block).cast("long").alias("blocks"))
     members = members.join(sizes, "component")
     rows = docs.join(members.hint("shuffle_hash"), docs["doc_id"] == members["node"])
-    sets = rows.select("component", "node", "blocks", "copies", "text").mapInArrow(
-        freed(_sets), "component long, node long, blocks long, copies long, runs binary"
+    sets = rows.select("component", "node", "part", "blocks", "copies", "text").mapInArrow(
+        freed(_sets), "component long, node long, part long, blocks long, copies long, runs binary"
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     sets = written(sets.withColumn("block", own), "sets")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    pairs = sets.select("component", "node", "copies", "runs", "block", other).select(
+    pairs = sets.select("component", "node", "part", "copies", "runs", "block", other).select(
         "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "block", "node", "copies", "runs",
+        "block", "node", "part", "copies", "runs",
     )
     # ranges deal the pairs of blocks out evenly; a pair of blocks is never split
     pairs = pairs.repartitionByRange("component", "low", "high").sortWithinPartitions("component", "low", "high", "node")
@@ -223,15 +252,25 @@ def verified(docs, members, similarity=SIMILARITY, block=BLOCK):
 def near_duplicates(docs, id="doc_id", text="text", similarity=SIMILARITY, depths=DEPTHS, target=TARGET, block=BLOCK):
     """Per row: doc_id, class_id (the least id linked to it, directly or over others) and n_links (rows
     linked to it, copies included)."""
-    rows = written(signed(docs, fitting(similarity, depths, target), id, text), "signed")
+    depths = ladder(similarity, depths, target)
+    rows = written(signed(docs, depths, id, text), "signed")
     whole = rows.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull())
     representatives = written(whole.groupBy("print").agg(
-        F.min("doc_id").alias("rep"), F.count("doc_id").alias("copies"), F.first("keys").alias("keys")
+        F.min("doc_id").alias("rep"), F.count("doc_id").alias("copies"),
+        *[F.first(f"nodes_{d}").alias(f"nodes_{d}") for d in depths],
     ), "representatives")
-    copies = representatives.select(F.col("rep").alias("node"), "copies")
     texts = docs.select(F.col(id).cast("bigint").alias("doc_id"), filled(text).alias("text"))
-    members = grouped(representatives).join(copies, "node")
-    links = verified(texts, members, similarity, block)
+    # every text is a group of its own until prefixes bring it together with others
+    groups, links = representatives.select("rep", "copies", F.col("rep").alias("part")), None
+    for depth in depths:
+        placed = representatives.select("rep", F.col(f"nodes_{depth}").alias("nodes"))
+        placed = placed.withColumn("part", F.col("rep")) if links is None else placed.join(groups.select("rep", "part"), "rep")
+        grown = brought_together(placed)
+        groups = groups.join(grown, F.col("part") == F.col("node"), "left").drop("node")
+        members = groups.where("component IS NOT NULL").select("component", F.col("rep").alias("node"), "part", "copies")
+        more = verified(texts, members, similarity, block)
+        links = more if links is None else links.unionByName(more)
+        groups = written(groups.select("rep", "copies", F.coalesce("component", "part").alias("part")), "groups")
     classes = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
     folded = representatives.select("print", "rep", "copies")

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from orderflow.llm.bytewords import gather, hashes, pieces, spans, utf8
+from orderflow.llm.bytewords import all_same, gather, pieces, spans, utf8, word_keys
 from orderflow.llm.common import BLANKS, filled, freed, written
 
 MAGIC = b"RPG1"
@@ -213,7 +213,8 @@ def ids_between(image, begin, end):
 
 class WordEncoder:
     """Encodes texts by a tokenizer whose tokens never reach over white space: each different word is encoded
-    once. Words are told apart by a 64-bit hash and kept for later batches."""
+    once and kept for later batches. Words are found by a key of 64 bits and long ones compared byte by byte: where two
+    different words have one key, the texts at hand are encoded word by word without it."""
 
     def __init__(self, path, memo=MEMO_WORDS):
         from tokenizers import Tokenizer
@@ -228,13 +229,15 @@ class WordEncoder:
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _forget(self):
-        """Known words: sorted hashes, and where in `ids` their ids begin and how many there are."""
-        self.keys, self.begins = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self, words, keys):
-        """Encodes new words together, a space apart; a token belongs to the word it starts in."""
-        ids, sizes = [self.ids], []
+        """Known words: sorted keys and the number of each; by number where in `bytes` its bytes and in `ids` its
+        ids begin, and how many."""
+        self.keys, self.ids, self.bytes = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint8)
+        self.number = self.begins = self.sizes = self.places = self.lengths = np.zeros(0, np.int64)
+
+    def _tokens(self, words):
+        """Ids of the words one after the other, and how many each has: encoded together, a space apart, where a
+        token belongs to the word it starts in."""
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for at in range(0, len(words), 2_000):
             part = words[at : at + 2_000]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
@@ -242,13 +245,20 @@ class WordEncoder:
             places = np.array([x[0] for x in found.offsets], dtype=np.int64)
             begins = np.cumsum([0] + [len(w) + 1 for w in part])
             sizes.append(np.diff(np.searchsorted(places, begins)))
-        sizes = np.concatenate(sizes)
-        begins = len(self.ids) + np.cumsum(sizes) - sizes
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn(self, data, starts, lengths, keys):
+        flat, at = gather(data, starts, lengths)
+        text = flat.tobytes()
+        ids, sizes = self._tokens([text[a:b].decode() for a, b in zip(at[:-1].tolist(), at[1:].tolist())])
+        number = np.concatenate((self.number, len(self.number) + np.arange(len(keys))))
         keys = np.concatenate((self.keys, keys))
         order = np.argsort(keys, kind="stable")
-        self.keys, self.ids = keys[order], np.concatenate(ids)
-        self.begins = np.concatenate((self.begins, begins))[order]
-        self.sizes = np.concatenate((self.sizes, sizes))[order]
+        self.keys, self.number = keys[order], number[order]
+        self.begins = np.concatenate((self.begins, len(self.ids) + np.cumsum(sizes) - sizes))
+        self.places = np.concatenate((self.places, len(self.bytes) + at[:-1]))
+        self.sizes, self.lengths = np.concatenate((self.sizes, sizes)), np.concatenate((self.lengths, lengths))
+        self.ids, self.bytes = np.concatenate((self.ids, ids)), np.concatenate((self.bytes, flat))
 
     def encode(self, column):
         """The ids of all texts of an Arrow string column in one array, and where each text begins."""
@@ -261,18 +271,22 @@ class WordEncoder:
         else:  # the tokenizer lowers letters, and sets letters and digits apart from other ASCII signs
             data, cuts = lower, (self.solid, self.sign)
         starts, ends, first = spans(data, offsets, self.word, cuts)
-        keys, sample, which = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
+        lengths = ends - starts
+        keys, sample, which = np.unique(word_keys(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.keys) > self.memo:
             self._forget()
         at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
         new = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(len(keys))
         if len(new):
-            spots = sample[new]
-            words = [text[a:b].decode() for a, b in zip(starts[spots].tolist(), ends[spots].tolist())]
-            self._learn(words, keys[new])
+            self._learn(data, starts[sample[new]], lengths[sample[new]], keys[new])
             at = np.searchsorted(self.keys, keys)
-        at = at[which]
-        ids, begins = gather(self.ids, self.begins[at], self.sizes[at])
+        at = self.number[at][which]
+        if all_same(data, starts, lengths, self.bytes, self.places[at], self.lengths[at]):
+            ids, begins = gather(self.ids, self.begins[at], self.sizes[at])
+        else:
+            words = [text[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())]
+            ids, sizes = self._tokens(words)
+            begins = np.concatenate(([0], np.cumsum(sizes)))
         return ids, begins[first]
 
 

@@ -1,10 +1,11 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.llm import repair
+from orderflow.llm import bytewords, repair
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -46,6 +47,33 @@ def test_given_documents(spark):
         assert (repair.ids_between(image, begin, begin + 90) == whole[begin : begin + 90]).all()
 
 
+def colliding():
+    """Two different words of 1 024 letters with one polynomial hash modulo a power of two."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate({97: "b", 98: "a"})
+    return word, word.translate({97: "b", 98: "a"})
+
+
+def test_words_with_one_hash_keep_their_own_ids(spark):
+    one, other = colliding()
+    data = np.frombuffer((one + other).encode(), np.uint8)
+    assert len(set(bytewords.hashes(data, np.array([0, 1024]), np.array([1024, 2048])).tolist())) == 1
+    rows = [(1, f"x {one} y {other}"), (2, other), (3, one), (4, "plain words"), (5, f"{one} {one} {other}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((tuple(r) for r in repair.decoded(repair.stored(docs, PATH)).collect()), key=lambda r: r[1])
+    assert got == brute(rows)
+
+
+def test_known_words_are_compared_too():
+    one, other = colliding()
+    coder = repair.WordEncoder(PATH)
+    for text in (f"a {one} b", f"c {other}", f"{one} {other}", "a b c"):
+        ids, bounds = coder.encode(pa.array([text, text]))
+        want = coder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == want * 2 and bounds.tolist() == [0, len(want), 2 * len(want)]
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert repair.decoded(repair.stored(docs, PATH)).collect() == []
