@@ -71,7 +71,7 @@ def cep_duration_alerts(spark, folder):
 
 def cep_duration_events(spark, folder):
     matches = patterns.duration_matches(_views(spark, folder), within_ms=6 * HOUR)
-    return patterns.alerts(matches)
+    return patterns.alerts(matches).drop("matches")
 
 
 def cep_duration_by_user(spark, folder):
