@@ -113,37 +113,9 @@ def test_a_large_group_does_not_lower_the_recall_of_others(spark):
     assert sum(got[d] for d in pairs) >= 0.995 * 600 - 4 and all(got[d] == want[d] for d in want if int(d) < 1000)
 
 
-def test_search_ends_where_the_threshold_meets_the_target():
+def test_depth_holds_the_target_at_the_threshold():
     for similarity in (0.5, 0.7, 0.8, 0.9):
-        steps = lsh_forest.ladder(similarity)
-        assert steps == sorted(steps, reverse=True) and steps[0] == max(lsh_forest.DEPTHS)
-        assert lsh_forest.chance(similarity, steps[-1]) >= lsh_forest.TARGET
-        assert all(lsh_forest.chance(similarity, d) < lsh_forest.TARGET for d in steps[:-1])
-    assert lsh_forest.ladder(0.8) == [8, 7, 6] and lsh_forest.ladder(target=2.0) == sorted(lsh_forest.DEPTHS, reverse=True)
-
-
-def test_shorter_prefixes_lie_above_longer_ones(spark):
-    docs = spark.createDataFrame(made(3, 60), "doc_id long, text string")
-    rows = [r for r in lsh_forest.signed(docs, [8, 3, 1]).collect() if r["print"]]
-    above = {}
-    for r in rows:
-        for long, middle, short in zip(r["nodes_8"], r["nodes_3"], r["nodes_1"]):
-            assert above.setdefault(long, (middle, short)) == (middle, short)
-            assert above.setdefault(middle, short) == short
-
-
-def test_links_found_at_one_depth_are_not_counted_again(spark):
-    """Pairs of all similarities, searched from the longest prefixes to single values."""
-    rows = made(6, 80)
-    assert found(spark, rows, depths=(8, 4, 2, 1), target=2.0, block=4) == brute(rows)
-
-
-def test_recall_against_all_pairs(spark):
-    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
-    got = {d: (c, n) for d, c, n in found(spark, rows)}
-    want = {d: (c, n) for d, c, n in brute(rows)}
-    assert sum(n for _, n in got.values()) >= 0.99 * sum(n for _, n in want.values()) > 0
-    assert all(got[d][1] <= want[d][1] for d in want)
+        assert lsh_forest.chance(similarity, lsh_forest.fitting(similarity)) >= lsh_forest.TARGET
 
 
 def test_copies_have_equal_words_not_equal_hashes(spark):
@@ -152,6 +124,6 @@ def test_copies_have_equal_words_not_equal_hashes(spark):
         word += word.translate({97: "b", 98: "a"})
     other = word.translate({97: "b", 98: "a"})
     rows = [(1, word), (2, other), (3, f"  {word.upper()}!"), (4, "one, two"), (5, "(One) two?"), (6, "onetwo"), (7, "?!")]
-    found = lsh_forest.signed(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), [6]).collect()
+    found = lsh_forest.signed(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 6).collect()
     prints = {r["doc_id"]: r["print"] for r in found}
     assert prints[1] == prints[3] != prints[2] and prints[4] == prints[5] != prints[6] and prints[7] is None
