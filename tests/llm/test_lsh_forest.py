@@ -127,3 +127,10 @@ def test_copies_have_equal_words_not_equal_hashes(spark):
     found = lsh_forest.signed(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 6).collect()
     prints = {r["doc_id"]: r["print"] for r in found}
     assert prints[1] == prints[3] != prints[2] and prints[4] == prints[5] != prints[6] and prints[7] is None
+
+
+def test_recall_against_all_pairs(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    got = {d: n for d, _, n in found(spark, rows)}
+    want = {d: n for d, _, n in brute(rows)}
+    assert sum(got.values()) >= 0.99 * sum(want.values()) > 0 and all(got[d] <= want[d] for d in want)
