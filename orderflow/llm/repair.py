@@ -38,6 +38,9 @@ STEP = 256
 LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
 MEMO_WORDS = 1_000_000
+MEMO_BYTES = 16_000_000
+# Bytes of text encoded at once: the arrays of numbers for them take some hundred times as much.
+PIECE = 250_000
 SHARD_SCHEMA = "part int, part_start long, n_docs long, n_ids long, data binary"
 
 
@@ -213,13 +216,14 @@ def ids_between(image, begin, end):
 
 class WordEncoder:
     """Encodes texts by a tokenizer whose tokens never reach over white space: each different word is encoded
-    once and kept for later batches. Words are found by a key of 64 bits and long ones compared byte by byte: where two
-    different words have one key, the texts at hand are encoded word by word without it."""
+    once and kept for later batches, up to a number of words and of their bytes. Words are found by a key of 64 bits
+    and long ones compared byte by byte: where two different words have one key, the texts at hand are encoded word by
+    word without it."""
 
-    def __init__(self, path, memo=MEMO_WORDS):
+    def __init__(self, path, memo=MEMO_WORDS, memo_bytes=MEMO_BYTES):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.memo = Tokenizer.from_file(path), memo
+        self.tokenizer, self.memo, self.memo_bytes = Tokenizer.from_file(path), memo, memo_bytes
         self._forget()
         self.word = np.ones(256, dtype=bool)
         self.word[[ord(x) for x in BLANKS]] = False
@@ -232,7 +236,7 @@ class WordEncoder:
         """Known words: sorted keys and the number of each; by number where in `bytes` its bytes and in `ids` its
         ids begin, and how many."""
         self.keys, self.ids, self.bytes = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint8)
-        self.number = self.begins = self.sizes = self.places = self.lengths = np.zeros(0, np.int64)
+        self.number = self.begins = self.sizes = self.places = self.lengths = np.zeros(0, np.int32)
 
     def _tokens(self, words):
         """Ids of the words one after the other, and how many each has: encoded together, a space apart, where a
@@ -251,13 +255,13 @@ class WordEncoder:
         flat, at = gather(data, starts, lengths)
         text = flat.tobytes()
         ids, sizes = self._tokens([text[a:b].decode() for a, b in zip(at[:-1].tolist(), at[1:].tolist())])
-        number = np.concatenate((self.number, len(self.number) + np.arange(len(keys))))
-        keys = np.concatenate((self.keys, keys))
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.number = keys[order], number[order]
-        self.begins = np.concatenate((self.begins, len(self.ids) + np.cumsum(sizes) - sizes))
-        self.places = np.concatenate((self.places, len(self.bytes) + at[:-1]))
-        self.sizes, self.lengths = np.concatenate((self.sizes, sizes)), np.concatenate((self.lengths, lengths))
+        # the new keys are sorted too: they are put in between, which copies but does not sort
+        where = np.searchsorted(self.keys, keys)
+        number = np.arange(len(self.number), len(self.number) + len(keys), dtype=np.int32)
+        self.keys, self.number = np.insert(self.keys, where, keys), np.insert(self.number, where, number)
+        for name, more in (("begins", len(self.ids) + np.cumsum(sizes) - sizes), ("places", len(self.bytes) + at[:-1]),
+                           ("sizes", sizes), ("lengths", lengths)):
+            setattr(self, name, np.concatenate((getattr(self, name), more.astype(np.int32))))
         self.ids, self.bytes = np.concatenate((self.ids, ids)), np.concatenate((self.bytes, flat))
 
     def encode(self, column):
@@ -273,7 +277,7 @@ class WordEncoder:
         starts, ends, first = spans(data, offsets, self.word, cuts)
         lengths = ends - starts
         keys, sample, which = np.unique(word_keys(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) > self.memo:
+        if len(self.keys) > self.memo or len(self.bytes) > self.memo_bytes:
             self._forget()
         at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
         new = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(len(keys))
@@ -318,7 +322,7 @@ def encoded(docs, tokenizer, id="doc_id", text="text", end_id=END_ID, shard_ids=
             )
 
         for batch in batches:
-            for piece in pieces(batch, 1, 1_000_000):
+            for piece in pieces(batch, 1, PIECE):
                 ids, bounds = coder.encode(piece.column(1))
                 for k, doc in enumerate(piece.column(0).to_pylist()):
                     docs_now.append(doc)
@@ -365,5 +369,6 @@ def decoded(shards):
 
 
 def stored(docs, tokenizer, **options):
-    """The shards, written to the shared folder."""
-    return written(encoded(docs, tokenizer, **options), "shards")
+    """The shards, written to the shared folder. A shard is some megabytes, so the writer looks at the size of a page
+    after each: after a hundred, as usual, it would hold all shards of a task twice to compress them at once."""
+    return written(encoded(docs, tokenizer, **options), "shards", **{"parquet.page.size.row.check.min": 1})

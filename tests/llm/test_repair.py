@@ -88,3 +88,14 @@ def test_grammar_gives_back_what_it_took(seed):
     assert (repair.expanded(shard) == np.concatenate(documents)).all()
     if seed < 3:
         assert len(shard["symbols"]) < sum(map(len, documents)) / 2
+
+
+def test_the_memo_is_bounded_by_bytes_too():
+    words = [f"w{k}" + "x" * 300 for k in range(400)] + [f"s{k}" for k in range(400)]
+    coder = repair.WordEncoder(PATH, memo_bytes=20_000)
+    for at in range(0, 800, 20):
+        texts = [" ".join(words[at : at + 20]), words[at // 2], None, words[-1]]
+        ids, bounds = coder.encode(pa.array(texts))
+        want = [coder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == want
+        assert (np.diff(coder.keys.astype(object)) > 0).all() and len(coder.bytes) <= 20_000 + 21 * 310
