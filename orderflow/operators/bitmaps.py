@@ -1,8 +1,9 @@
 """Distinct users that add up: bitmaps over numbered users.
 
-Users get dense numbers once. The users of a key and window are bitmaps of their numbers, one for each bucket of
-32 768 numbers that has any; merging the bitmaps of windows or keys gives the exact users of hours, days or coarser
-keys without going back to the orders, which plain counts cannot do.
+Users get dense numbers once. The users of a key and window are bitmaps of their numbers, in words of 64 bits: a row for
+each word of a bucket of 32 768 numbers that has any user, so a window of few users takes a few numbers and there are
+never more rows than users. Merging the bitmaps of windows or keys gives the exact users of hours, days or coarser keys
+without going back to the orders, which plain counts cannot do.
 """
 
 from pyspark.sql import functions as F
@@ -25,24 +26,25 @@ def numbered(rows, user, known=None):
 
 
 def user_bitmaps(rows, numbers, keys, user, size_ms, ct="ct"):
-    """Bitmaps of the users per key and window of `size_ms`, one row per bucket. Repeated users of a window go
-    before the numbers are looked up, and no row holds more than a bucket."""
+    """Bitmaps of the users per key and window of `size_ms`, one row per `word` of a `bucket` that has any. Repeated
+    users of a window go before the numbers are looked up."""
     start = F.floor(F.col(ct) / size_ms) * size_ms
     seen = rows.filter(F.col(user).isNotNull() & F.col(ct).isNotNull()).select(
         *keys, start.alias("startWindowTime"), user
     ).distinct()
     placed = seen.join(numbers, user)
-    return placed.groupBy(*keys, "startWindowTime", F.expr("bitmap_bucket_number(number + 1)").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.expr("bitmap_bit_position(number + 1)")).alias("bitmap")
+    bucket, word = F.expr("bitmap_bucket_number(number + 1)"), F.expr("cast(number % 32768 div 64 AS int)")
+    return placed.groupBy(*keys, "startWindowTime", bucket.alias("bucket"), word.alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(number % 64 AS int))")).alias("bitmap")
     )
 
 
 def rolled_up(bitmaps, keys, size_ms):
     """Bitmaps of longer windows, and of fewer keys."""
     start = F.floor(F.col("startWindowTime") / size_ms) * size_ms
-    return bitmaps.groupBy(*keys, start.alias("startWindowTime"), "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return bitmaps.groupBy(*keys, start.alias("startWindowTime"), "bucket", "word").agg(F.bit_or("bitmap").alias("bitmap"))
 
 
 def distinct_users(bitmaps, keys):
     """Users per key and window."""
-    return bitmaps.groupBy(*keys, "startWindowTime").agg(F.sum(F.bitmap_count("bitmap")).alias("users"))
+    return bitmaps.groupBy(*keys, "startWindowTime").agg(F.sum(F.bit_count("bitmap")).alias("users"))

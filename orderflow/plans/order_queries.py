@@ -77,9 +77,10 @@ def bitmap_rollup(spark, folder):
     orders = base.orders(spark, folder)
     numbers = bitmaps.numbered(orders, "userID")
     small = bitmaps.user_bitmaps(orders, numbers, ["traffic"], "userID", 10_000)
-    rows = []
+    rows, longer = [], small
     for name, keys, size in (("hour", ["traffic"], HOUR), ("day", ["traffic"], DAY), ("all", [], DAY)):
-        users = bitmaps.distinct_users(bitmaps.rolled_up(small, keys, size), keys)
+        longer = bitmaps.rolled_up(longer, keys, size)
+        users = bitmaps.distinct_users(longer, keys)
         if not keys:
             users = users.withColumn("traffic", F.lit("all"))
         rows.append(users.select(F.lit(name).alias("kind"), "traffic", "startWindowTime", "users"))

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from orderflow.operators import bitmaps
 
 SCHEMA = "traffic string, region string, userID string, ct long"
@@ -60,3 +62,12 @@ def test_no_rows(spark):
     frame = spark.createDataFrame([], SCHEMA)
     numbers = bitmaps.numbered(frame, "userID")
     assert numbers.collect() == [] and bitmaps.user_bitmaps(frame, numbers, ["traffic"], "userID", 10).collect() == []
+
+
+def test_a_window_of_few_users_is_small(spark):
+    frame = spark.range(1000).selectExpr("'a' AS traffic", "cast(id * 70 AS string) AS userID", "id * 10 AS ct")
+    numbers = spark.range(70_000).selectExpr("cast(id AS string) AS userID", "id AS number")
+    made = bitmaps.user_bitmaps(frame, numbers, ["traffic"], "userID", 10)
+    size = F.octet_length(F.col("bitmap").cast("string"))
+    assert made.agg(F.count("*"), F.max(size) <= 20).first() == (1000, True)
+    assert counts(bitmaps.rolled_up(made, ["traffic"], 10_000), ["traffic"]) == {("a", 0): 1000}
