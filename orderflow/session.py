@@ -54,3 +54,17 @@ def cleared(spark, path):
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def moved_folders(spark, source, target):
+    """Moves the folders in `source` to `target`, each in place of the one of its name; `source` is removed."""
+    jvm = spark.sparkContext._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    store = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in store.listStatus(source):
+        if found.isDirectory():
+            place = jvm.org.apache.hadoop.fs.Path(target, found.getPath().getName())
+            store.delete(place, True)
+            if not store.rename(found.getPath(), place):
+                raise OSError(f"{found.getPath()} was not moved to {place}")
+    store.delete(source, True)
