@@ -129,18 +129,23 @@ def stream_type_by_clock(spark, folder):
     )
 
 
-def _in_parts(spark, folder):
-    """The events as a stream of four files, one for each quarter of the time; every fiftieth row comes with
-    the last one, however old it is."""
+def _in_parts(spark, folder, files=None):
+    """The events as a stream of four micro-batches, one for each quarter of the time; every fiftieth row comes with
+    the last one, however old it is. A quarter is written by as many tasks as read the table, to as many files."""
     out = new_folder(spark, "parts")
     rows = tables.table(spark, folder, "events")
     span = rows.agg(F.unix_millis(F.min("ts").cast("timestamp")).alias("a"), F.unix_millis(F.max("ts").cast("timestamp")).alias("b")).first()
     quarter = (span["b"] - span["a"]) // 4 + 1
     part = F.floor((F.unix_millis(F.col("ts").cast("timestamp")) - span["a"]) / quarter)
+    files = files or rows.rdd.getNumPartitions()
     for k in range(4):
-        mine = F.when(F.col("event_id") % 50 == 0, 3).otherwise(part) == k
-        rows.filter(mine).coalesce(1).write.mode("append").parquet(out)
-    return spark.readStream.schema(tables.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(out)
+        mine = rows.filter(F.when(F.col("event_id") % 50 == 0, 3).otherwise(part) == k)
+        (mine.repartition(files) if files > 1 else mine.coalesce(1)).write.mode("append").parquet(out)
+        # a task without rows writes no file; empty ones make up the number that is one micro-batch
+        there = len(spark.read.schema(tables.EVENTS_SCHEMA).parquet(out).inputFiles())
+        for _ in range(files * (k + 1) - there):
+            spark.createDataFrame([], tables.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(out)
+    return spark.readStream.schema(tables.EVENTS_SCHEMA).option("maxFilesPerTrigger", files).parquet(out)
 
 
 def late_region_windows(spark, folder):

@@ -20,7 +20,8 @@ END_OF_TIME = 1 << 60
 class Carry:
     """`step(carried, batch, before, now)` gives (results, rows to carry, frames cached on the way).
 
-    `before` and `now` are the highest `ct` seen up to the previous and this batch.
+    `before` and `now` are the highest `ct` seen up to the previous and this batch. Where the step names its `columns`,
+    `start` leaves out all others: a batch is kept while it is worked on, and what it holds is worked out for that.
     """
 
     def __init__(self, step, folder, carried_schema, ct="ct"):
@@ -52,6 +53,8 @@ class Carry:
             frame.unpersist()
 
     def start(self, stream, checkpoint, trigger=None, mode="append"):
+        if needed := getattr(self.step, "columns", None):
+            stream = stream.select(*dict.fromkeys([*needed, self.ct]))
         self.run, self.columns = run_of(checkpoint), stream.schema
         writer = stream.writeStream.foreachBatch(self).outputMode(mode).option("checkpointLocation", checkpoint)
         return writer.trigger(**(trigger or {"processingTime": "3 seconds"})).start()

@@ -178,6 +178,7 @@ class WindowRevisions:
     def __init__(self, keys, size_ms, lateness_ms=0, delay_ms=0, exact=False):
         self.keys, self.size_ms, self.lateness_ms, self.delay_ms = list(keys), size_ms, lateness_ms, delay_ms
         self.groups, self.exact = [*self.keys, "startWindowTime"], exact
+        self.columns = [*self.keys, "ct", "fee", "adult", "yonger", "baby"]
 
     def carried_schema(self, stream):
         numbers = ["startWindowTime", *self.measures, "revision"]

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from orderflow.operators import windows
+from orderflow.plans.stream_queries import _in_parts
 from orderflow.streaming import timers
 from orderflow.streaming.carry import Carry
 from orderflow.streaming.steps import RenewedTotals, WindowRevisions
@@ -147,3 +148,42 @@ def test_idle_stream_closes_its_batches(spark, tmp_path):
         assert r.orders == 10 or r.endWindowTime % 4_000 == 0
     assert sums == {"a": (112, sum(range(112))), None: (2, 225), "b": (6, sum(range(114, 120)))}
     assert sum(r.orders == 10 for r in got if r.traffic == "a") >= 9
+
+
+def test_parts_of_several_files_are_one_batch(spark, tmp_path):
+    rows = [(i, f"2024-01-{1 + i // 4:02d} 00:00:00", i % 3, "view", 1.5, "{}") for i in range(60)]
+    made = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string")
+    made.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    made.filter("event_id < 40 AND event_id % 20 < 3").withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(
+        str(tmp_path / "few" / "events.parquet"))
+
+    def batches(folder, files):
+        found = {}
+
+        def see(batch, number):
+            found[number] = sorted(r["event_id"] for r in batch.collect())
+
+        stream = _in_parts(spark, str(folder), files)
+        log = str(tmp_path / f"log-{folder.name}-{files}")
+        stream.writeStream.foreachBatch(see).option("checkpointLocation", log).trigger(**ONCE).start().awaitTermination()
+        return found
+
+    for folder in (tmp_path, tmp_path / "few"):
+        whole = batches(folder, 1)
+        assert len(whole) == 4 and batches(folder, 5) == whole
+
+
+def test_a_batch_has_the_columns_of_its_step_only(spark, tmp_path):
+    seen = []
+
+    class Watched(WindowRevisions):
+        def __call__(self, carried, batch, before, now):
+            seen.append(batch.columns)
+            return super().__call__(carried, batch, before, now)
+
+    feed = Feed(spark, tmp_path, thirds(make(60, 3)))
+    step, stream = Watched(["traffic"], 10_000), feed.stream()
+    carry = Carry(step, feed.out, step.carried_schema(stream))
+    carry.start(stream, feed.log, ONCE).awaitTermination()
+    carry.drain(spark)
+    assert len(seen) == 4 and all(c == ["traffic", "ct", "fee", "adult", "yonger", "baby"] for c in seen)
