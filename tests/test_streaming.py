@@ -351,3 +351,16 @@ def test_files_filled_to_a_size(spark, tmp_path):
     landing.compact_packed(spark, str(tmp_path / "out"), str(tmp_path / "more"), 10_000)
     again = spark.read.schema("value string, bucket string, file int").text(str(tmp_path / "more"))
     same(again.select("bucket", "value").collect(), got.select("bucket", "value").collect())
+
+
+def test_an_hour_written_again_is_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = [(f"202401010{i % 2}", f"line {i}", i) for i in range(400)]
+    lines = spark.createDataFrame(rows, "bucket string, value string, seq int")
+    landing.land_packed(lines, path, 500, order=["seq"])
+    landing.land_packed(lines.filter("bucket = '2024010101' AND seq < 100"), path, 500, order=["seq"])
+    started = spark.conf.get(landing.LISTING)
+    got = landing.read_packed(spark, path)
+    assert spark.conf.get(landing.LISTING) == started
+    same([tuple(r) for r in got.select("bucket", "value").collect()], [(b, v) for b, v, i in rows if i % 2 == 0 or i < 100])
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == ["bucket=2024010100", "bucket=2024010101"]
