@@ -142,7 +142,7 @@ def landing_by_bytes(spark, folder):
         F.to_json(F.struct("orderID", "fee", "traffic")).alias("value"), F.date_format("ts", "yyyyMMdd").alias("bucket"), "seq"
     )
     landing.land_packed(lines, out, FILE_BYTES, order=["seq"])
-    rows = landing.read_packed(spark, out)
+    rows = landing.read_packed(spark, out, FILE_BYTES)
     return rows.groupBy("bucket", "file", "_metadata.file_size").agg(
         F.count("*").alias("lines"), F.min("value").alias("least"), F.max("value").alias("greatest")
     ).withColumnRenamed("file_size", "bytes")

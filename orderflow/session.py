@@ -56,6 +56,21 @@ def cleared(spark, path):
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def local_path(spark, path):
+    """The path as Python's file calls take it, if it is on a mounted file system; else None."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    uri = store.makeQualified(where).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
+def folders_in(spark, path):
+    """The paths of the folders in a folder of the shared store."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().toString() for f in store.listStatus(where) if f.isDirectory()]
+
+
 def moved_folders(spark, source, target):
     """Moves the folders in `source` to `target`, each in place of the one of its name; `source` is removed."""
     jvm = spark.sparkContext._jvm

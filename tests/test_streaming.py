@@ -364,3 +364,66 @@ def test_an_hour_written_again_is_replaced_whole(spark, tmp_path):
     assert spark.conf.get(landing.LISTING) == started
     same([tuple(r) for r in got.select("bucket", "value").collect()], [(b, v) for b, v, i in rows if i % 2 == 0 or i < 100])
     assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == ["bucket=2024010100", "bucket=2024010101"]
+
+
+ODD_LINES = [
+    ("a:b c+%/é", "one"), ("a:b c+%/é", None), (None, "é" * 9), ("", "last"), ("plus", "a\u0085b"), ("plus", ""), ("plus", "x" * 40),
+]
+
+
+def odd_lines(spark):
+    rows = [(b, v, i) for i, (b, v) in enumerate(ODD_LINES * 3)]
+    return spark.createDataFrame(rows, "bucket string, value string, seq int").repartition(3)
+
+
+def test_files_on_a_mounted_folder_are_written_by_tasks(spark, tmp_path):
+    path, made = str(tmp_path / "out"), {}
+    landing.land_packed(odd_lines(spark), path, 30, order=["seq"])
+    # Hadoop's writer starts a process for each file and leaves a hidden file beside it
+    assert not [p for p in (tmp_path / "out").rglob("*") if p.name.startswith((".", "_"))]
+    for p in (tmp_path / "out").rglob("*.txt"):
+        made.setdefault((p.parts[-3], p.parts[-2]), []).append(p.read_bytes())
+    assert sorted(x for texts in made.values() for t in texts for x in t.decode().split("\n")[:-1]) == sorted((v or "") for _, v in ODD_LINES * 3)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.landed.link./there", (tmp_path / "there").as_uri())
+    (tmp_path / "there").mkdir()
+    landing.land_packed(odd_lines(spark), "viewfs://landed/there", 30, order=["seq"])
+    by_spark = {}
+    for p in (tmp_path / "there").rglob("*.txt"):
+        by_spark.setdefault((p.parts[-3], p.parts[-2]), []).append(p.read_bytes())
+    assert {k: sorted(b"".join(v).split(b"\n")) for k, v in made.items()} == {k: sorted(b"".join(v).split(b"\n")) for k, v in by_spark.items()}
+
+
+def test_packed_files_read_whole_or_by_line(spark, tmp_path):
+    path = str(tmp_path / "out")
+    landing.land_packed(odd_lines(spark), path, 30, order=["seq"])
+    raw = spark.sql("SELECT 'raw' AS bucket, CAST(X'FF0041C3' AS STRING) AS value, 0 AS seq UNION ALL SELECT 'raw', 'a\\r\\nb\\rc', 1")
+    landing.land_packed(raw, path, 30, order=["seq"])
+    (tmp_path / "out" / "bucket=raw" / "file=7").mkdir()
+    (tmp_path / "out" / "bucket=raw" / "file=7" / "part-0.txt").write_bytes(b"\n\nno line end")
+    (tmp_path / "out" / "bucket=raw" / "file=8").mkdir()
+    (tmp_path / "out" / "bucket=raw" / "file=8" / "part-0.txt").write_bytes(b"")
+    columns = ("bucket", "file", "hex(CAST(value AS BINARY)) AS value", "_metadata.file_size")
+    whole, by_line = landing.read_packed(spark, path, 30), landing.read_packed(spark, path)
+    assert whole.columns[:3] == by_line.columns[:3] == ["value", "bucket", "file"]
+    got, want = whole.selectExpr(*columns).collect(), by_line.selectExpr(*columns).collect()
+    same([tuple(r) for r in got], [tuple(r) for r in want])
+    assert {r["bucket"] for r in got} == {"a:b c+%/é", None, "plus", "raw"} and sum(r["file"] == 7 for r in got) == 3
+
+
+def test_hours_are_listed_by_one_job(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = [(f"202401010{i % 3}", f"line {i:04d}", i) for i in range(600)]
+    landing.land_packed(spark.createDataFrame(rows, "bucket string, value string, seq int"), path, 50, order=["seq"])
+    started = spark.conf.get(landing.LISTED_BY_DRIVER)
+    for target in (50, landing.WHOLE_BYTES + 1):
+        spark.sparkContext.setJobGroup(f"listing {target}", "")
+        got = landing.read_packed(spark, path, target)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"listing {target}")) == 1
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert spark.conf.get(landing.LISTED_BY_DRIVER) == started
+        same([tuple(r) for r in got.select("bucket", "value").collect()], [r[:2] for r in rows])
+    (tmp_path / "none").mkdir()
+    assert landing.read_packed(spark, str(tmp_path / "none"), 50).count() == 0
+    landing.land_packed(spark.createDataFrame([], "bucket string, value string, seq int"), str(tmp_path / "none"), 50)
+    assert landing.read_packed(spark, str(tmp_path / "none")).count() == 0
